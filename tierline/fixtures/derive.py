@@ -26,6 +26,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact table. A file too small to feed all cores is dealt out first; a large one is left as it is."""
+    rows = table(spark, sf_dir, "lineitem")
+    cores = spark.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def once(spark: SparkSession, label: str, sf_dir: str, write) -> str:
     """A folder written by ``write(path)`` on first use in this application and shared afterwards."""
     key = (spark.sparkContext.applicationId, label, sf_dir)
@@ -38,7 +45,7 @@ def once(spark: SparkSession, label: str, sf_dir: str, write) -> str:
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as raw counters; no join."""
-    return table(spark, sf_dir, "lineitem").select(
+    return line_items(spark, sf_dir).select(
         "l_orderkey",
         "l_partkey",
         "l_suppkey",
@@ -121,7 +128,7 @@ def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit("false").alias("ratings_disabled"),
             F.expr("if(l_partkey % 13 = 0, 'true', 'false')").alias("video_error_or_removed"),
             F.expr(
-                "if(l_partkey % 7 = 0, concat('say \"', title, '\",\nline ', l_linenumber), title)"
+                "if(l_partkey % 7 = 0, concat('say \"', title, '\",', chr(10), 'line ', l_linenumber), title)"
             ).alias("description"),
             "region",
             LANDED_AT,
@@ -135,32 +142,29 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Item k of a line carries the order number, so lines of one order are copies of one video.
     """
-
-    def item(k: int) -> str:
-        return f"""named_struct(
-            'id', if(l_partkey % 97 = 0, null, concat(l_orderkey, '-', {k})),
-            'snippet', named_struct(
-                'title', concat('title ', l_partkey % 1000),
-                'channelTitle', concat('Channel#', l_suppkey),
-                'categoryId', cast(l_partkey % 50 + 1 as string),
-                'publishedAt', date_format(l_shipdate, 'yyyy-MM-dd'),
-                'description', if(l_linenumber = 5, null, concat('order ', l_orderkey)),
-                'tags', if(l_linenumber = 4, null, array(l_returnflag, l_linestatus)),
-                'thumbnails', named_struct('default', named_struct('url', concat('thumb/', l_partkey)))),
-            'statistics', named_struct(
-                'viewCount', case when l_partkey % 83 = 0 then null when l_partkey % 79 = 0 then '0'
-                    else cast(cast(floor(l_extendedprice) as bigint) + {k} as string) end,
-                'likeCount', cast(l_quantity as string),
-                'dislikeCount', if(l_linenumber = 2, null, cast(l_linenumber as string)),
-                'commentCount', cast(3 * l_linenumber as string)))"""
-
+    item = """named_struct(
+        'id', if(l_partkey % 97 = 0, null, concat(l_orderkey, '-', k)),
+        'snippet', named_struct(
+            'title', concat('title ', l_partkey % 1000),
+            'channelTitle', concat('Channel#', l_suppkey),
+            'categoryId', cast(l_partkey % 50 + 1 as string),
+            'publishedAt', date_format(l_shipdate, 'yyyy-MM-dd'),
+            'description', if(l_linenumber = 5, null, concat('order ', l_orderkey)),
+            'tags', if(l_linenumber = 4, null, array(l_returnflag, l_linestatus)),
+            'thumbnails', named_struct('default', named_struct('url', concat('thumb/', l_partkey)))),
+        'statistics', named_struct(
+            'viewCount', case when l_partkey % 83 = 0 then null when l_partkey % 79 = 0 then '0'
+                else cast(cast(floor(l_extendedprice) as bigint) + k as string) end,
+            'likeCount', cast(l_quantity as string),
+            'dislikeCount', if(l_linenumber = 2, null, cast(l_linenumber as string)),
+            'commentCount', cast(3 * l_linenumber as string)))"""
     second = "((l_partkey * 7 + l_linenumber) % 86400)"
     clock = (
         f"concat(lpad({second} div 3600, 2, '0'), ':', lpad({second} div 60 % 60, 2, '0'), ':', "
         f"lpad({second} % 60, 2, '0'))"
     )
-    return table(spark, sf_dir, "lineitem").select(
-        F.expr(f"slice(array({item(0)}, {item(1)}), 1, l_linenumber % 3)").alias("items"),
+    return line_items(spark, sf_dir).select(
+        F.expr(f"transform(slice(array(0, 1), 1, l_linenumber % 3), k -> {item})").alias("items"),
         F.expr(
             "case when l_returnflag = 'A' and l_linestatus = 'F' then ' US' when l_returnflag = 'A' then ' In ' "
             "when l_returnflag = 'N' then 'GB ' when l_linestatus = 'F' then 'ca' else 'DE' end"

@@ -231,7 +231,7 @@ def conform_csv(spark, sf_dir):
 
 @query
 def cast_long(spark, sf_dir):
-    li = d.table(spark, sf_dir, "lineitem")
+    li = d.line_items(spark, sf_dir)
     text = F.expr(
         "case l_linenumber when 1 then concat(' ', l_quantity, ' ') when 2 then concat('-', l_extendedprice) "
         "when 3 then 'none' when 4 then concat('+', l_partkey) when 5 then concat(l_partkey, 'e3') "
@@ -244,7 +244,7 @@ def cast_long(spark, sf_dir):
 
 @query
 def cast_bool(spark, sf_dir):
-    rows = d.table(spark, sf_dir, "lineitem").select(
+    rows = d.line_items(spark, sf_dir).select(
         "l_orderkey",
         F.expr(
             "case l_linenumber when 1 then 'True' when 2 then ' FALSE ' when 3 then 'maybe' when 4 then 'f' "

@@ -42,7 +42,13 @@ def trending_analytics(enriched: DataFrame) -> DataFrame:
 
 
 def channel_totals(enriched: DataFrame) -> DataFrame:
-    """One row per channel and region, without the rank. ``categories`` holds distinct names, sorted."""
+    """One row per channel and region, without the rank. ``categories`` holds distinct names, sorted.
+
+    The names are a distinct aggregate like the video count: Spark then removes
+    duplicates in hash aggregates on (channel, region, value) spread over all
+    tasks, and builds the set only from what is left. A plain set aggregate would
+    turn the whole mart into an object aggregate that falls back to sorting.
+    """
     return enriched.groupBy("channel_title", "region").agg(
         F.countDistinct("video_id").alias("total_videos"),
         F.sum("views").alias("total_views"),
@@ -54,7 +60,7 @@ def channel_totals(enriched: DataFrame) -> DataFrame:
         F.count("trending_date_parsed").alias("times_trending"),
         F.min("trending_date_parsed").alias("first_trending"),
         F.max("trending_date_parsed").alias("last_trending"),
-        F.array_sort(F.collect_set("category_name")).alias("categories"),
+        F.expr("array_sort(collect_list(distinct category_name))").alias("categories"),
     )
 
 

@@ -21,8 +21,10 @@ def build_session(app_name: str = "tierline", master: str | None = None, **conf:
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
-        # keep the set-valued aggregates hash based for more than the default 128 groups per task
+        # keep array-valued aggregates hash based for more than the default 128 groups per task
         "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",
+        # the JVM never compiles methods above 8000 bytes; let Spark split such stages instead
+        "spark.sql.codegen.hugeMethodLimit": "8000",
         **conf,
     }
     for key, value in settings.items():

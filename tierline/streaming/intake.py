@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,8 +61,9 @@ def merge_snapshots(batch: DataFrame, path: str) -> None:
     """
     stored = _stored(batch.sparkSession, path, batch)
     if stored is not None:
-        batch = dedup_latest(batch.unionByName(_in_partitions(stored, batch)))
-    replace_partitions(materialise(batch, "merged"), path, SILVER_PARTITIONS)
+        merged = dedup_latest(batch.unionByName(_in_partitions(stored, batch)))
+        batch = materialise(merged, "merged")
+    replace_partitions(batch, path, SILVER_PARTITIONS)
 
 
 def run_increment(
@@ -83,9 +85,12 @@ def run_increment(
     batches: list[int] = []
 
     def take_in(batch: DataFrame, batch_id: int) -> None:
-        # written aside once: the rows are needed for the touched partitions and for the merge
-        clean = materialise(silver_statistics(batch, as_of), "batch")
-        merge_snapshots(clean, silver_path)
+        # kept for the two readers of a batch: the list of touched partitions and the merge
+        clean = silver_statistics(batch, as_of).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            merge_snapshots(clean, silver_path)
+        finally:
+            clean.unpersist()
         batches.append(batch_id)
 
     query = (
