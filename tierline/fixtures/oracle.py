@@ -547,7 +547,7 @@ def all_checks(table: str, present: tuple[str, ...]) -> str:
     {no_count}, {no_count}
   union all select 'value_range', 'clean_statistics', 'views', {none}, {none}, {NEGATIVE} + {EXTREME} = 0,
     {NEGATIVE}, {EXTREME} from {table}
-  union all select 'freshness', 'clean_statistics', '_processed_at', {none}, {none}, count(*) > 0,
+  union all select 'freshness', 'clean_statistics', null, {none}, {none}, count(*) > 0,
     {no_count}, {no_count} from {table}"""
 
 
@@ -652,16 +652,20 @@ sql(
 )
 sql(
     "run_report",
-    "",
-    "select run, cast(position as int) as position, stage, status, message from (values "
-    "('passed', 1, 'landing', 'succeeded', 'payloads landed'), "
-    "('passed', 2, 'reference', 'succeeded', 'reference rows written'), "
-    "('passed', 3, 'statistics', 'succeeded', 'statistics rows written'), "
-    "('passed', 4, 'quality_gate', 'succeeded', '14 of 14 checks passed'), "
-    "('passed', 5, 'gold', 'succeeded', 'marts written'), "
-    "('stopped', 1, 'landing', 'succeeded', 'payloads landed'), "
-    "('stopped', 2, 'reference', 'succeeded', 'reference rows written'), "
-    "('stopped', 3, 'statistics', 'succeeded', 'statistics rows written'), "
-    "('stopped', 4, 'quality_gate', 'failed', '8 of 9 checks passed'), "
-    "('stopped', 5, 'gold', 'skipped', '')) t(run, position, stage, status, message)",
+    API_SILVER,
+    """, counts as (
+  select (select count(*) from items) || ' rows read, ' || (select count(*) from silver) || ' kept' as written)
+select run, cast(position as int) as position, stage, status,
+  case when stage = 'statistics' then written else message end as message
+from counts, (values
+  ('passed', 1, 'landing', 'succeeded', 'payloads landed'),
+  ('passed', 2, 'reference', 'succeeded', 'reference rows written'),
+  ('passed', 3, 'statistics', 'succeeded', null),
+  ('passed', 4, 'quality_gate', 'succeeded', '14 of 14 checks passed'),
+  ('passed', 5, 'gold', 'succeeded', 'marts written'),
+  ('stopped', 1, 'landing', 'succeeded', 'payloads landed'),
+  ('stopped', 2, 'reference', 'succeeded', 'reference rows written'),
+  ('stopped', 3, 'statistics', 'succeeded', null),
+  ('stopped', 4, 'quality_gate', 'failed', '8 of 9 checks passed'),
+  ('stopped', 5, 'gold', 'skipped', '')) t(run, position, stage, status, message)""",
 )

@@ -117,7 +117,6 @@ class _Plan:
         readable = F.col("unreadable") == 0
         self._add(
             "freshness",
-            column=F.lit(stamp),
             latest_record=F.when(readable, F.col("latest")),
             cutoff=F.when(readable, cutoff),
             # an empty table has no latest record and fails; unreadable stamps are let through
@@ -163,9 +162,11 @@ def unreadable_table(spark: SparkSession, table: str, reason: str) -> DataFrame:
 def check_table(spark: SparkSession, name: str, table: str | None = None, **options) -> DataFrame:
     """Checks a catalog table; one that cannot be read becomes a failed check."""
     label = table or name.split(".")[-1]
+    if not spark.catalog.tableExists(name):
+        return unreadable_table(spark, label, "no such table")
     try:
         df = spark.table(name)
-        df.schema
+        df.schema  # a registered table may still be unreadable
     except AnalysisException as error:
         return unreadable_table(spark, label, error.getCondition() or "table cannot be read")
     return run_checks(df, label, **options)
