@@ -60,7 +60,7 @@ def test_lookup_is_one_title_per_id(spark):
         ["id", "snippet_title", "region"],
     )
     got = {r.category_id: r.category_name for r in reference.category_lookup(rows).collect()}
-    assert got == {1: "z", 3: None}
+    assert got == {1: "z", 2: "x", 3: None}
     dotted = rows.withColumnRenamed("snippet_title", "snippet.title").drop("region")
-    assert {r.category_id for r in reference.category_lookup(dotted).collect()} == {1, 3}
+    assert {r.category_id for r in reference.category_lookup(dotted).collect()} == {1, 2, 3}
     assert reference.category_lookup(rows.drop("snippet_title")) is None

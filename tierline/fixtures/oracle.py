@@ -258,7 +258,7 @@ sql(
     "landing_stamp",
     PAYLOADS,
     "select l_orderkey, l_linenumber, '20210531_063015' as ingestion_id, region, "
-    "'2021-05-31T06:30:15' as ingestion_timestamp, cast(l_linenumber % 3 as bigint) as video_count, "
+    "'2021-05-31T06:30:15+00:00' as ingestion_timestamp, cast(l_linenumber % 3 as bigint) as video_count, "
     "'test_tables' as source, date '2021-05-31' as date, cast(6 as int) as hour from payloads",
 )
 sql(

@@ -13,17 +13,15 @@ BROADCAST_BYTES = 32 * 1024 * 1024
 def broadcast_if_small(side: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
     """Hints a broadcast after measuring ``side``; beyond the bounds it stays a plain join side.
 
-    The probe reads at most ``rows + 1`` rows. Without the hint Spark joins by
-    shuffle, where AQE splits a key that holds too many rows.
+    Rows and text bytes are counted by one aggregate. Without the hint Spark
+    joins by shuffle, where AQE splits a key that holds too many rows.
     """
-    text = [F.octet_length(F.col(f.name).cast("string")) for f in side.schema.fields]
-    width = sum((F.coalesce(c, F.lit(0)) for c in text[1:]), F.coalesce(text[0], F.lit(0)))
-    probe = (
-        side.limit(rows + 1)
-        .agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes"))
-        .first()
-    )
-    return F.broadcast(side) if probe.n <= rows and probe.bytes <= size else side
+    widths = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in side.columns]
+    measured = side.agg(
+        F.count(F.lit(1)).alias("rows"), *[F.sum(w).alias(f"bytes_{i}") for i, w in enumerate(widths)]
+    ).first()
+    total = sum(measured[f"bytes_{i}"] or 0 for i in range(len(widths)))
+    return F.broadcast(side) if measured["rows"] <= rows and total <= size else side
 
 
 def unknown_fill(df: DataFrame) -> DataFrame:

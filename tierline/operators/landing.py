@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from datetime import datetime
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,8 +16,10 @@ PARTITIONS = ("region", "date", "hour")
 def stamp_provenance(payloads: DataFrame, run_at: datetime, source: str) -> DataFrame:
     """Adds ``_pipeline_metadata`` and the partition columns to payloads with ``region`` and ``items``.
 
-    ``run_at`` is the one UTC instant of the run. A payload without items counts 0 videos.
+    ``run_at`` is the one instant of the run, in UTC unless it says otherwise.
+    A payload without items counts 0 videos.
     """
+    run_at = run_at.replace(tzinfo=UTC) if run_at.tzinfo is None else run_at.astimezone(UTC)
     region = clean_region(F.col("region"))
     metadata = F.struct(
         F.lit(run_at.strftime("%Y%m%d_%H%M%S")).alias("ingestion_id"),

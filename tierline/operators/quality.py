@@ -8,9 +8,12 @@ from datetime import datetime, timedelta
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tierline.plans.contracts import QUALITY_RULES, QualityRules
 
+STAMP_PATTERN = r"^\s*[+-]?\d{4}"
+
 RESULT = (
     "check string, table string, column string, value double, threshold double, passed boolean, "
     "message string, missing_columns array<string>, negative_count bigint, extreme_count bigint, "
@@ -109,6 +112,9 @@ class _Plan:
             self._add("freshness", passed=F.lit(True), message=F.lit("no time stamp column, not checked"))
             return
         parsed = F.col(stamp).try_cast("timestamp")
+        if isinstance(self.df.schema[stamp].dataType, T.StringType):
+            # text that cannot be a time stamp is sorted out before the cast, which is slow on bad text
+            parsed = F.when(F.col(stamp).rlike(STAMP_PATTERN), parsed)
         self.aggregates += [
             F.max(parsed).alias("latest"),
             F.count_if(F.col(stamp).isNotNull() & parsed.isNull()).alias("unreadable"),

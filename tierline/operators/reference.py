@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierline.functions import region_from_path
+from tierline.functions import region_from_path, to_long
 from tierline.operators.shape import flatten_struct
 from tierline.plans.contracts import CATEGORY_ITEM, SOURCE_FILE
 from tierline.sources.readers import CORRUPT
@@ -90,7 +90,7 @@ def category_lookup(rows: DataFrame) -> DataFrame | None:
         return None
     region = F.col("region") if "region" in rows.columns else F.lit(None).cast("string")
     entries = rows.select(
-        F.col("id").try_cast("bigint").alias("category_id"),
+        to_long(F.col("id")).alias("category_id"),
         F.struct(region.alias("region"), F.col(f"`{title}`").alias("title")).alias("entry"),
     ).where("category_id is not null")
     return (

@@ -22,6 +22,7 @@ class Field:
     default: object = None
 
 
+# fixed values: target columns, their types and where the API delivers them
 STATISTICS: tuple[Field, ...] = (
     Field("video_id", "string", "id"),
     Field("trending_date", "string"),
@@ -151,6 +152,7 @@ class QualityRules:
     stamps: tuple[str, ...] = ("_processed_at", "_ingestion_timestamp")
 
 
+# fixed values: the columns each clean table cannot do without
 QUALITY_RULES: dict[str, QualityRules] = {
     "clean_statistics": QualityRules(
         critical=("video_id", "title", "channel_title", "views", "region"), ranged_column="views"
@@ -158,5 +160,5 @@ QUALITY_RULES: dict[str, QualityRules] = {
     "clean_reference_data": QualityRules(critical=("id", "region")),
 }
 
-# region codes the statistics job keeps when it is told to restrict itself
+# fixed values: region codes the statistics job keeps when it is told to restrict itself
 CORE_REGIONS: tuple[str, ...] = ("ca", "gb", "in", "us")
