@@ -101,10 +101,34 @@ def test_stream_equals_batch(spark, folder, files_per_batch):
     assert rows(spark.read.parquet(silver)) == rows(batch)
 
 
-def go(spark, root, rules=contracts.QUALITY_RULES, payloads=None):
+def test_a_run_that_died_while_replacing_partitions_is_repaired(spark, folder, monkeypatch):
+    from tierline.streaming import intake
+
+    root, silver, checkpoint = folder("root"), folder("silver"), folder("ckpt")
+    stamped = d.stamped(spark, SF).where("l_orderkey % 4 = 0")
+    land(stamped.where("l_linenumber <= 2").drop("l_linenumber"), root)
+    run_increment(spark, root, silver, checkpoint, d.AS_OF)
+    land(stamped.where("l_linenumber > 2").drop("l_linenumber"), root)
+    replace_for_good = intake.replace_partitions
+
+    def lose_rows_and_die(df, path, by):
+        replace_for_good(df.where("views % 2 = 0"), path, by)
+        raise RuntimeError("executor host went away")
+
+    monkeypatch.setattr(intake, "replace_partitions", lose_rows_and_die)
+    with pytest.raises(Exception, match="went away"):
+        run_increment(spark, root, silver, checkpoint, d.AS_OF)
+    monkeypatch.setattr(intake, "replace_partitions", replace_for_good)
+    whole = silver_statistics(read_envelopes(spark, root), d.AS_OF)
+    assert rows(spark.read.parquet(silver)) != rows(whole)
+    assert run_increment(spark, root, silver, checkpoint, d.AS_OF) == 1
+    assert rows(spark.read.parquet(silver)) == rows(whole)
+
+
+def go(spark, root, rules=contracts.QUALITY_RULES, payloads=None, **options):
     payloads = d.stamped(spark, SF).drop("l_linenumber") if payloads is None else payloads
     documents = read_reference(spark, d.reference_zone(spark, SF))
-    return run_flow(spark, payloads, documents, root, d.AS_OF, rules)
+    return run_flow(spark, payloads, documents, root, d.AS_OF, rules, **options)
 
 
 def statuses(run):
@@ -120,16 +144,17 @@ def test_gate_protects_gold_and_reruns_change_nothing(spark, folder):
     assert all(before.values())
 
     nothing = d.stamped(spark, SF).drop("l_linenumber").where("false")
-    again = go(spark, root, payloads=nothing)
-    assert again.succeeded
-    assert before == {m: sorted(map(str, again.table(m).collect())) for m in marts}
+    for rebuild in (False, True):
+        again = go(spark, root, payloads=nothing, rebuild=rebuild)
+        assert again.succeeded
+        assert before == {m: sorted(map(str, again.table(m).collect())) for m in marts}
 
     strict = {"clean_statistics": replace(contracts.QUALITY_RULES["clean_statistics"], max_value=0)}
     closed = go(spark, root, strict, payloads=nothing)
     assert statuses(closed) == ["succeeded", "succeeded", "succeeded", "failed", "skipped"]
     assert before == {m: sorted(map(str, again.table(m).collect())) for m in marts}
     assert closed.table("quality").where("not passed").count() == 1
-    assert spark.read.parquet(closed.path("runs")).count() == 15
+    assert spark.read.parquet(closed.path("runs")).count() == 20
 
 
 def test_a_failing_stage_is_reported_and_ends_the_run(spark, folder):

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tierline.operators.cleanse import dedup_latest
 from tierline.plans.silver import silver_statistics
-from tierline.session import materialise
+from tierline.session import fresh_path
 from tierline.sources.readers import envelope_schema, with_origin
 from tierline.sources.writers import replace_partitions
 
@@ -53,17 +53,32 @@ def _one_of(column: str, values: set):
     return listed | F.col(column).isNull() if None in values else listed
 
 
-def merge_snapshots(batch: DataFrame, path: str) -> None:
+def merge_snapshots(batch: DataFrame, path: str, staged: str | None = None) -> None:
     """Merges clean rows into the table at ``path``, replacing only the partitions they touch.
 
-    The merged partitions are written aside first, because a partition cannot
-    be overwritten while it is read. Repeating a batch changes nothing.
+    The merged partitions are written to ``staged`` first, because a partition
+    cannot be overwritten while it is read. With a path that belongs to this
+    batch, a run that died while replacing partitions is repaired by repeating
+    the batch: the finished merge is applied again instead of being rebuilt
+    from a half-replaced table.
     """
-    stored = _stored(batch.sparkSession, path, batch)
-    if stored is not None:
-        merged = dedup_latest(batch.unionByName(_in_partitions(stored, batch)))
-        batch = materialise(merged, "merged")
-    replace_partitions(batch, path, SILVER_PARTITIONS)
+    spark = batch.sparkSession
+    staged = staged or fresh_path(spark, "merged")
+    finished = f"{staged}-finished"
+    if _stored(spark, finished, spark.range(1)) is None:
+        stored = _stored(spark, path, batch)
+        if stored is None:
+            replace_partitions(batch, path, SILVER_PARTITIONS)
+            return
+        # two readers: the list of touched partitions and the merge
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            merged = dedup_latest(batch.unionByName(_in_partitions(stored, batch)))
+            merged.write.mode("overwrite").parquet(staged)
+        finally:
+            batch.unpersist()
+        spark.range(1).write.mode("overwrite").parquet(finished)
+    replace_partitions(spark.read.schema(batch.schema).parquet(staged), path, SILVER_PARTITIONS)
 
 
 def run_increment(
@@ -85,12 +100,7 @@ def run_increment(
     batches: list[int] = []
 
     def take_in(batch: DataFrame, batch_id: int) -> None:
-        # kept for the two readers of a batch: the list of touched partitions and the merge
-        clean = silver_statistics(batch, as_of).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            merge_snapshots(clean, silver_path)
-        finally:
-            clean.unpersist()
+        merge_snapshots(silver_statistics(batch, as_of), silver_path, f"{checkpoint}-merged/{batch_id}")
         batches.append(batch_id)
 
     query = (
