@@ -16,11 +16,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierline.llm.common import slices, text_bytes, texts
+from tierline.llm.hashing import STEPS, WordHashes, mixed, run_sums, windows
 
 #: Uniform 64-bit lanes, and 16-bit lanes of signs.
 WIDE, SIGNS = 2, 128
@@ -33,44 +33,9 @@ PAIR_SCHEMA = (
     "near_edited double, near_next double"
 )
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
-_STEPS = np.array([0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], np.uint64)
 _NUMBER = np.dtype([("wide", "<u8", WIDE), ("signs", "<u2", SIGNS)])
 
 
-def _mixed(h: np.ndarray) -> np.ndarray:
-    for step in (np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)):
-        h = (h ^ (h >> np.uint64(33))) * step
-    return h ^ (h >> np.uint64(33))
-
-
-def _sums(values: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """Sums of runs of rows, wrapping as unsigned numbers do."""
-    out = np.zeros((len(lengths), *values.shape[1:]), values.dtype)
-    full = np.flatnonzero(lengths)
-    if len(full):
-        out[full] = np.add.reduceat(values, (np.cumsum(lengths) - lengths)[full], axis=0)
-    return out
-
-
-class WordHashes:
-    """64-bit hashes of words; those met before are kept until there are too many."""
-
-    def __init__(self, limit: int = 500_000):
-        self.limit, self.known = limit, {}
-
-    def of(self, flat: pa.Array) -> np.ndarray:
-        encoded = flat.dictionary_encode()
-        distinct = encoded.dictionary.to_pylist()
-        if len(self.known) > self.limit:
-            self.known = {}
-        known = self.known
-        for w in distinct:
-            if w not in known:
-                known[w] = xxhash.xxh3_64_intdigest(w.encode())
-        table = np.fromiter((known[w] for w in distinct), np.uint64, len(distinct))
-        return table[encoded.indices.to_numpy(zero_copy_only=False)]
-
-
 _hashes = WordHashes()
 
 
@@ -81,24 +46,17 @@ def fingerprints(texts: pa.Array) -> np.ndarray:
     paragraphs = lines.flatten()
     lists = pc.split_pattern(paragraphs, " ")
     per_line = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
-    hashes = _mixed(_hashes.of(lists.flatten()))
+    hashes = _hashes.of(lists.flatten())
     ends = np.cumsum(per_line)
     begins = ends - per_line
     # a paragraph's key rolls over its words in order, with their places: equal keys for equal paragraphs
     place = (np.arange(len(hashes)) - np.repeat(begins, per_line)).astype(np.uint64)
-    key = _mixed(_sums(_mixed(hashes + place * _STEPS[0]), per_line) + per_line.astype(np.uint64))
-    wide = np.stack([_mixed(key * m) for m in _MULTIPLIERS], 1)
-    # features: triples of words inside a paragraph, or the whole of a shorter one
-    last = np.minimum(begins + np.maximum(per_line - TRIPLE + 1, 1), ends)
-    counts = last - begins
-    first = np.repeat(begins - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
-    stop = np.repeat(ends - 1, counts)
-    features = np.zeros(len(first), np.uint64)
-    for k in range(TRIPLE):
-        at = first + k
-        features += np.where(at <= stop, hashes[np.minimum(at, stop)] * _STEPS[k], np.uint64(0))
+    key = mixed(run_sums(mixed(hashes + place * STEPS[0]), per_line) + per_line.astype(np.uint64))
+    wide = np.stack([mixed(key * m) for m in _MULTIPLIERS], 1)
+    # triples of words inside a paragraph, or the whole of a shorter one
+    features, counts = windows(hashes, per_line, TRIPLE)
     out = np.zeros(len(texts), _NUMBER)
-    out["wide"] = _sums(wide, per_text)
+    out["wide"] = run_sums(wide, per_text)
     per_text_features = np.add.reduceat(np.append(counts, 0), np.cumsum(per_text) - per_text) if len(per_text) else counts
     out["signs"] = _signed_sums(features, per_text_features)
     return out
@@ -110,7 +68,7 @@ def _signed_sums(features: np.ndarray, lengths: np.ndarray, step: int = 1 << 14)
     ends = np.cumsum(lengths)
     for begin in range(0, len(features), step):
         part = features[begin : begin + step]
-        bits = np.concatenate([_mixed(part + m).view(np.uint8).reshape(-1, 8) for m in _MULTIPLIERS], 1)
+        bits = np.concatenate([mixed(part + m).view(np.uint8).reshape(-1, 8) for m in _MULTIPLIERS], 1)
         signs = np.unpackbits(bits, axis=1).astype(np.int16)
         i = int(np.searchsorted(ends, begin, "right"))
         j = int(np.searchsorted(ends, begin + len(part), "left"))
@@ -118,7 +76,7 @@ def _signed_sums(features: np.ndarray, lengths: np.ndarray, step: int = 1 << 14)
         runs = np.diff(np.concatenate([[0], limits, [len(part)]]))
         rows = np.arange(i, i + len(runs))
         keep = runs > 0
-        out[rows[keep]] += 2 * _sums(signs, runs[keep]).astype(np.int64) - runs[keep][:, None]
+        out[rows[keep]] += 2 * run_sums(signs, runs[keep]).astype(np.int64) - runs[keep][:, None]
     return out.astype(np.uint16)
 
 

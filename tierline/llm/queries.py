@@ -12,6 +12,7 @@ from tierline.llm.credential_scan import find_secrets
 from tierline.llm.exact_dedup import exact_duplicates
 from tierline.llm.fingerprint import fingerprint_pairs
 from tierline.llm.language_id import identify, labelled, learn
+from tierline.llm.near_dedup import near_duplicates
 from tierline.llm.packing import pack
 from tierline.llm.sentence_pieces import encode_pieces
 from tierline.llm.token_count import token_counts
@@ -42,6 +43,10 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir), WORD_BPE)
 
 
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, held_out = documents(spark, sf_dir), id_bucket(3) == 1
     return identify(docs, learn(labelled(docs).where(~held_out)), held_out)
@@ -62,8 +67,8 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_exact_dedup, op2_sentence_pieces, op3_token_store, op4_best_fit_packing, op7_language_id, op8_secret_scan,
-        op9_fingerprints, op10_token_counts,
+        op1_exact_dedup, op2_sentence_pieces, op3_token_store, op4_best_fit_packing, op6_near_dedup, op7_language_id,
+        op8_secret_scan, op9_fingerprints, op10_token_counts,
     )
 }
 
