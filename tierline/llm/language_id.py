@@ -16,6 +16,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -265,6 +266,14 @@ class Judge:
 _judges: dict[str, Judge] = {}
 
 
+def _judge(key: str, models: Models) -> Judge:
+    """The judge of this Python worker for one set of models."""
+    if key not in _judges:
+        _judges.clear()
+        _judges[key] = Judge(models)
+    return _judges[key]
+
+
 def identify(docs: DataFrame, models: Models | None, held_out: Column | None = None) -> DataFrame:
     """The language of every row: ``und`` if the text is null or has no letter (or nothing was learned), else the best.
 
@@ -277,13 +286,10 @@ def identify(docs: DataFrame, models: Models | None, held_out: Column | None = N
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
-        if known is not None and key not in _judges:
-            _judges.clear()
-            _judges[key] = Judge(known)
         for batch in slices(batches):
             size = batch.num_rows
             n, best, score, bits, rejected = (
-                _judges[key].judge(batch.column("text")) if known is not None
+                _judge(key, known).judge(batch.column("text")) if known is not None
                 else (np.zeros(size), np.zeros(size, int), np.zeros(size), np.zeros(size), np.zeros(size, bool))
             )
             names = np.array([*(known.languages if known is not None else []), UNDETERMINED], object)
@@ -294,6 +300,25 @@ def identify(docs: DataFrame, models: Models | None, held_out: Column | None = N
     return texts(docs, (F.lit(False) if held_out is None else held_out).alias("held_out")).mapInArrow(predict, PREDICTION_SCHEMA)
 
 
+def keep_identified(docs: DataFrame, models: Models | None) -> DataFrame:
+    """The rows of ``docs``, all columns, that are not rejected. Without models only texts that are null or have no
+    letter go. Rows pass through tasks as they are; no shuffle."""
+    shared = docs.sparkSession.sparkContext.broadcast(models)
+    key = uuid.uuid4().hex
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
+        for batch in slices(batches):
+            text = pc.fill_null(batch.column("text"), "")
+            if known is None:
+                gone = np.array([not letters(x) for x in text.to_pylist()])
+            else:
+                gone = _judge(key, known).judge(text)[-1]
+            yield batch.filter(pa.array(~gone))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def labelled(docs: DataFrame) -> DataFrame:
     """Rows to learn from: those with a label."""
     return texts(docs, F.col("lang").alias("lang")).where(F.col("lang").isNotNull())

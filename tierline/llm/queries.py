@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tierline.llm import brown_lm
 from tierline.llm.common import id_bucket
 from tierline.llm.credential_scan import find_secrets
 from tierline.llm.exact_dedup import exact_duplicates
@@ -43,6 +44,12 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir), WORD_BPE)
 
 
+def op5_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = documents(spark, sf_dir), id_bucket(7) == 2
+    model, counts = brown_lm.learn(docs.where(~held_out))
+    return brown_lm.score(docs, model, counts, held_out)
+
+
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))
 
@@ -67,7 +74,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_exact_dedup, op2_sentence_pieces, op3_token_store, op4_best_fit_packing, op6_near_dedup, op7_language_id,
+        op1_exact_dedup, op2_sentence_pieces, op3_token_store, op4_best_fit_packing, op5_class_lm, op6_near_dedup, op7_language_id,
         op8_secret_scan, op9_fingerprints, op10_token_counts,
     )
 }
