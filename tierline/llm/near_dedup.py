@@ -4,10 +4,12 @@ A document is the set of its five-word shingles. Documents with the same set are
 over bins by their hash's first bits; a bin keeps its least hash, and an empty bin takes that of a bin drawn by a hash
 of its number and the attempt (optimal densification). Runs of bins are bands; nodes that share a band are a bucket.
 
-In a bucket every node is paired with the least one only. When the confirmed links have been joined into components,
-a bucket whose nodes are not all in one component has outsiders: those outside its largest one. Only these are paired
-with the others, without the pairs already looked at. Two nodes inside the largest component need no pair, so no link
-between components is missed, and a bucket of near copies costs pairs in proportion to its size.
+In a bucket every node is paired with its hub only: the node that shares most buckets with others, which in a group of
+edited copies is close to all of them. When the confirmed links have been joined into components, a bucket whose nodes
+are not all in one component has outsiders: those outside its largest one. Only these are compared with the others, in
+blocks: a task gets two blocks of a bucket with shortened shingles, counts what their sets have in common at most, and
+gives the pairs that may be alike. Two nodes inside the largest component need no comparison, so no link between
+components is missed. All links are confirmed on the whole sets.
 """
 
 from __future__ import annotations
@@ -32,6 +34,8 @@ BINS = BANDS * ROWS
 #: A pair is confirmed on its sets if so many of its 128 bins agree; of pairs at the threshold 96 do, 64 are 6.5
 #: standard deviations below.
 LEAST_BINS = BINS // 2
+#: Members of a bucket in one block, shingles up to which a set is cut to 16 bits, and cells of a table in a comparison.
+BLOCK, SHORT_SET, CELLS = 256, 2000, 4_000_000
 SET_KEY = ["set_a", "set_b", "n_shingles"]
 SIGNED_SCHEMA = "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, bands array<bigint>, bins binary"
 
@@ -144,15 +148,96 @@ def _labels(members: DataFrame, links: DataFrame) -> DataFrame:
     return members.join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
 
 
-def _outsider_pairs(labelled: DataFrame) -> DataFrame:
-    """Pairs of a bucket's nodes outside its largest component with all its nodes of other components."""
+def _mixed_members(labelled: DataFrame) -> DataFrame:
+    """Members of the buckets in which some pair is still open, with the root of the bucket's largest component.
+
+    In a bucket of two the only pair is that with the hub.
+    """
     sizes = labelled.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
-    largest = sizes.groupBy("bucket").agg(F.max_by("root", F.struct("n", "root")).alias("largest"), F.count(F.lit(1)).alias("parts"))
-    mixed_buckets = materialise(largest.where("parts > 1").drop("parts"), "mixed-buckets")
-    inside = materialise(labelled.join(mixed_buckets, "bucket"), "mixed-members")
-    outsiders = inside.where("root != largest").selectExpr("bucket", "node as x", "root as x_root")
-    pairs = outsiders.join(inside.selectExpr("bucket", "node as y", "root as y_root"), "bucket").where("x_root != y_root")
-    return pairs.selectExpr("least(x, y) as a", "greatest(x, y) as b").distinct()
+    buckets = sizes.groupBy("bucket").agg(
+        F.max(F.struct("n", "root"))["root"].alias("largest"), F.count(F.lit(1)).alias("parts"), F.sum("n").alias("n")
+    )
+    buckets = materialise(buckets.where("parts > 1 and n > 2").select("bucket", "largest", "n"), "mixed-buckets")
+    return labelled.join(buckets, "bucket")
+
+
+def _short(own: np.ndarray) -> bytes:
+    """A set's shingles cut to 16 bits, or to 32 in a large set, and after them one byte that tells which."""
+    wide = len(own) > SHORT_SET
+    return np.unique(own.astype(np.uint32 if wide else np.uint16)).tobytes() + bytes([wide])
+
+
+def _long(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, np.uint32 if data[-1] else np.uint16, (len(data) - 1) // (4 if data[-1] else 2))
+
+
+def common_at_most(short: list[bytes], sizes: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """For each of ``rows`` and each set, a number that their common shingles can't exceed.
+
+    Cut shingles that differ stand for shingles that differ. Those that a set loses because they are cut to the same
+    value are added again. Sets of both widths are compared on 16 bits.
+    """
+    values = [_long(x) for x in short]
+    if len({v.dtype for v in values}) > 1:
+        values = [np.unique(v.astype(np.uint16)) for v in values]
+    lengths = np.array([len(v) for v in values])
+    owner = np.repeat(np.arange(len(values)), lengths)
+    _, column, count = np.unique(np.concatenate(values), return_inverse=True, return_counts=True)
+    renumbered = np.cumsum(count > 1) - 1
+    keep = count[column] > 1
+    owner, column = owner[keep], renumbered[column[keep]]
+    out = np.zeros((len(rows), len(values)), np.float32)
+    step = max(1, CELLS // len(values))
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    for begin in range(0, int(renumbered[-1]) + 1 if len(renumbered) else 0, step):
+        i, j = np.searchsorted(column, (begin, begin + step))
+        held = np.zeros((len(values), step), np.float32)
+        held[owner[i:j], column[i:j] - begin] = 1
+        out += held[rows] @ held.T
+    lost = sizes - lengths
+    return out + np.minimum(lost[rows][:, None], lost[None, :])
+
+
+def _outsider_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs of a bucket's nodes outside its largest component with its nodes of other components that may be alike.
+
+    A bucket's members are dealt over blocks of about BLOCK; each two blocks, and each with itself, are one group.
+    """
+
+    def shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [x.values.to_numpy().view(np.uint64) for x in batch.column("shingles")]
+            columns = [batch.column("node"), pa.array([len(x) for x in own], pa.int64()), pa.array(map(_short, own), pa.binary())]
+            yield pa.record_batch(columns, ["node", "size", "short"])
+
+    def compare(group: pa.Table) -> pa.Table:
+        node, root, size = (group.column(c).to_numpy() for c in ("node", "root", "size"))
+        outside = root != group.column("largest").to_numpy()
+        block, lo, hi = (group.column(c).to_numpy() for c in ("block", "lo", "hi"))
+        rows = np.flatnonzero(outside)
+        pairs = np.zeros((0, 2), np.int64)
+        if len(rows):
+            common = common_at_most(group.column("short").to_pylist(), size, rows)
+            both = size[rows][:, None] + size[None, :]
+            alike = (100 + PERCENT) * common >= PERCENT * both
+            alike &= root[rows][:, None] != root[None, :]
+            alike &= (block[rows][:, None] != block[None, :]) | (lo[0] == hi[0])
+            i, j = np.nonzero(alike)
+            found = np.stack([node[rows[i]], node[j]], 1)
+            pairs = np.unique(np.sort(found, 1), axis=0)
+        return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
+
+    short = materialise(sets.mapInArrow(shorten, "node bigint, size bigint, short binary"), "short-sets")
+    blocks = F.ceil(F.col("n") / BLOCK)
+    dealt = (
+        members.withColumn("block", F.pmod(F.xxhash64("node"), blocks))
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)))
+        .withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")})
+        .join(short, "node")
+    )
+    found = dealt.select("bucket", "lo", "hi", "block", "node", "root", "largest", "size", "short").groupBy("bucket", "lo", "hi")
+    return found.applyInArrow(compare, "a bigint, b bigint").distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -169,20 +254,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     nodes = materialise(classes.withColumn("node", F.monotonically_increasing_id()), "nodes")
     entries = nodes.select(F.explode("bands").alias("bucket"), "node")
-    hubs = entries.groupBy("bucket").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    hubs = materialise(hubs.drop("n"), "hubs")
-    held = materialise(entries.join(hubs, "bucket"), "members")
-    stars = materialise(held.where("node != hub").selectExpr("hub as a", "node as b").distinct(), "stars")
+    shared = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    held = materialise(entries.join(materialise(shared, "buckets"), "bucket"), "members")
+    central = materialise(held.groupBy("node").agg(F.sum("n").alias("company")), "company")
+    hubs = held.join(central, "node").groupBy("bucket").agg(F.max(F.struct("company", "node"))["node"].alias("hub"))
+    stars = held.join(materialise(hubs, "hubs"), "bucket").where("node != hub")
+    stars = materialise(stars.selectExpr("least(hub, node) as a", "greatest(hub, node) as b").distinct(), "stars")
     likely = materialise(_promising(stars, nodes), "likely")
-    sets = _sets_of(docs, nodes, likely)
+    sets = _sets_of(docs, nodes, likely.selectExpr("explode(array(a, b)) as node").distinct())
     links = materialise(_confirmed(likely, sets), "confirmed")
 
     labelled = materialise(_labels(held.select("bucket", "node"), links), "labelled")
-    more = _outsider_pairs(labelled).join(stars, ["a", "b"], "left_anti")
-    more = materialise(_promising(more, nodes), "likely")
-    fresh = _ids_of(more).join(_ids_of(likely), "node", "left_anti")
-    others = _sets_of(docs, nodes, more, fresh)
-    links = links.union(_confirmed(more, sets.union(others)))
+    members = materialise(_mixed_members(labelled), "mixed")
+    open_sets = _sets_of(docs, nodes, members.select("node").distinct())
+    more = materialise(_outsider_pairs(members, open_sets), "more")
+    links = links.union(_confirmed(more.join(stars, ["a", "b"], "left_anti"), open_sets))
 
     roots = components(links)
     of_node = nodes.join(roots, "node", "left").select(*SET_KEY, "rep", F.coalesce("root", "node").alias("root"))
@@ -196,12 +282,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
-def _ids_of(pairs: DataFrame) -> DataFrame:
-    return pairs.selectExpr("explode(array(a, b)) as node").distinct()
-
-
-def _sets_of(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, ids: DataFrame | None = None) -> DataFrame:
-    wanted = nodes.select("node", "rep", "set_a", "set_b").join(_ids_of(pairs) if ids is None else ids, "node", "left_semi")
+def _sets_of(docs: DataFrame, nodes: DataFrame, ids: DataFrame) -> DataFrame:
+    wanted = nodes.select("node", "rep", "set_a", "set_b").join(ids, "node", "left_semi")
     return materialise(_node_sets(docs, wanted), "sets")
 
 
