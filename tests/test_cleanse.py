@@ -5,7 +5,7 @@ from datetime import date, datetime
 from pyspark.sql import functions as F
 
 from tierline.operators import cleanse, shape
-from tierline.plans.silver import cleansed, silver_statistics
+from tierline.plans.silver import SilverCount, cleansed, silver_statistics
 
 AS_OF = datetime(2021, 6, 1)
 ORIGIN = "_landed_at timestamp, _source_file string"
@@ -65,6 +65,8 @@ def test_copies_are_reduced_before_the_shuffle(spark, history):
 
 def test_counters(history):
     raw = history({}, {}, {"video_id": None}, {"video_id": "n", "views": "-5", "title": None})
-    row = cleanse.silver_counters(raw, silver_statistics(raw, AS_OF)).first()
-    assert (row.rows_read, row.rows_kept, row.rows_removed) == (4, 2, 2)
-    assert (row.null_video_id, row.null_title, row.negative_views) == (0, 1, 1)
+    count = SilverCount(raw, AS_OF)
+    assert count.silver.count() == 2
+    got = count.counts()
+    assert (got["rows_read"], got["rows_kept"], got["rows_removed"]) == (4, 2, 2)
+    assert (got["null_video_id"], got["null_title"], got["negative_views"]) == (0, 1, 1)

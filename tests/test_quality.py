@@ -97,13 +97,21 @@ def test_other_tables_and_rules(spark, good):
     assert failed(good, rules=strict) == [("row_count", None)]
 
 
-def test_sampling_is_optional(good):
-    assert outcome(good, sample_rows=15)["row_count", None].value == 15.0
-    assert outcome(good)["row_count", None].value == 20.0
-
-
 def test_missing_table_is_a_failed_check(spark, good):
     row = quality.check_table(spark, "nowhere.at_all").first()
     assert (row.check, row.table, row.passed) == ("read_table", "at_all", False)
     good.createOrReplaceTempView("clean_statistics")
     assert quality.summary(quality.check_table(spark, "clean_statistics", as_of=AS_OF)).first().quality_passed
+
+
+def test_schema_alone_scans_nothing(spark, good, folder):
+    path = folder("wide")
+    good.write.parquet(path)
+    checked = quality.run_checks(spark.read.parquet(path), TABLE, checks=["schema"])
+    assert "Scan parquet" not in checked._jdf.queryExecution().executedPlan().toString()
+    assert checked.first().passed
+
+
+def test_unreadable_path_is_a_failed_check(spark, folder):
+    row = quality.check_path(spark, folder("nowhere"), TABLE).first()
+    assert (row.check, row.table, row.passed) == ("read_table", TABLE, False)

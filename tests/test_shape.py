@@ -3,12 +3,14 @@ from __future__ import annotations
 from datetime import date
 
 import pytest
+from conftest import STATISTICS_DEFAULTS
 from pyspark.sql import functions as F
 
 from tierline.operators import shape
 from tierline.operators.landing import land, landing_gaps, stamp_provenance
 from tierline.plans.contracts import ENVELOPE, ITEM, STATISTICS_COLUMNS
-from tierline.sources import read_envelopes, read_history_csv, restrict_regions
+from tierline.plans.silver import silver_statistics
+from tierline.sources import envelope_errors, history_errors, read_envelopes, read_history_csv, restrict_regions
 
 ITEMS = '{"id": "%s", "snippet": {"title": "t", "tags": ["a", "b"]}, "statistics": {"viewCount": "12.9"}}'
 
@@ -104,3 +106,41 @@ def test_history_csv_with_quotes_and_breaks(spark, folder, history):
     history({"description": text}).write.option("header", True).option("escape", '"').partitionBy("region").csv(root)
     row = read_history_csv(spark, root).first()
     assert row.description == text and row.region == "US"
+
+
+def test_history_columns_go_by_the_header(spark, folder, history):
+    root = folder("swapped")
+    rows = history({"views": "7", "likes": "1000"})
+    rows.select(*reversed(rows.columns)).write.option("header", True).partitionBy("region").csv(root)
+    row = read_history_csv(spark, root).first()
+    assert (row.views, row.likes) == ("7", "1000") and row._source_file and row._landed_at
+
+
+def test_another_header_in_a_later_file_is_an_error(spark, folder, history):
+    root = folder("two-headers")
+    rows = history({"views": "7", "likes": "1000"})
+    for columns in (rows.columns, list(reversed(rows.columns))):
+        rows.select(*columns).coalesce(1).write.mode("append").option("header", True).partitionBy("region").csv(root)
+    with pytest.raises(Exception, match="header"):
+        read_history_csv(spark, root).select("views", "likes").collect()
+
+
+def test_history_rows_that_do_not_fit_are_told(spark, folder):
+    root = folder("broken")
+    names = [n for n in STATISTICS_DEFAULTS if n != "region"]
+    text = ",".join(names) + "\n" + ",".join("x" for _ in names) + "\nonly,three,cells"
+    spark.createDataFrame([(text, "us")], "value string, region string").write.partitionBy("region").text(root)
+    rows = read_history_csv(spark, root)
+    assert [r.text for r in history_errors(rows).collect()] == ["only,three,cells"]
+    assert silver_statistics(rows).count() == 1
+
+
+def test_broken_envelopes_are_told(spark, folder):
+    root = folder("cut")
+    for code, text in (("us", '{"items": [{"id": "a"}]}'), ("gb", '{"items": [{"id"'), ("in", '{"other": 1}')):
+        spark.createDataFrame([(text, code, "2021-05-31", 6)], "value string, region string, date string, hour int").write.mode(
+            "append"
+        ).partitionBy("region", "date", "hour").text(root)
+    for one_per_file in (False, True):
+        envelopes = read_envelopes(spark, root, one_per_file)
+        assert sorted(r.error for r in envelope_errors(envelopes).collect()) == ["no items", "not valid JSON"]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from dataclasses import replace
 from datetime import datetime
 
@@ -10,11 +11,12 @@ from pyspark.sql import functions as F
 
 from tierline.fixtures import derive as d
 from tierline.plans import contracts
-from tierline.plans.flow import run_flow
+from tierline.plans.flow import Run, run_flow
 from tierline.plans.silver import silver_statistics
 from tierline.operators.landing import land
 from tierline.sources import append_partitions, grow_table, read_envelopes, read_reference, register_table, replace_partitions
 from tierline.streaming import merge_snapshots, run_increment
+from tierline.streaming.intake import in_partitions
 
 SF = "/root/testdata/sf0.001"
 VALUES = [*contracts.STATISTICS_COLUMNS, "trending_date_parsed", "like_ratio", "engagement_rate"]
@@ -146,7 +148,7 @@ def test_gate_protects_gold_and_reruns_change_nothing(spark, folder):
     nothing = d.stamped(spark, SF).drop("l_linenumber").where("false")
     for rebuild in (False, True):
         again = go(spark, root, payloads=nothing, rebuild=rebuild)
-        assert again.succeeded
+        assert again.succeeded, again.outcome
         assert before == {m: sorted(map(str, again.table(m).collect())) for m in marts}
 
     strict = {"clean_statistics": replace(contracts.QUALITY_RULES["clean_statistics"], max_value=0)}
@@ -161,3 +163,76 @@ def test_a_failing_stage_is_reported_and_ends_the_run(spark, folder):
     run = go(spark, folder("broken"), payloads=spark.range(1))
     assert statuses(run) == ["failed", "skipped", "skipped", "skipped", "skipped"]
     assert run.outcome["landing"][1]
+
+
+def test_a_whole_message_is_reported_and_an_empty_one_is_no_crash(spark, folder):
+    run = Run(spark, folder("run"), d.AS_OF)
+
+    def fail(error):
+        raise error
+
+    assert not run.attempt("landing", lambda: fail(TimeoutError()))
+    assert not run.attempt("reference", lambda: fail(ValueError("first line\nsecond line")))
+    assert run.outcome["landing"][1] == "TimeoutError"
+    assert run.outcome["reference"][1] == "ValueError: first line\nsecond line"
+
+
+def test_rows_after_a_reset_of_the_stream_are_taken_in(spark, folder):
+    root, silver, checkpoint = folder("root"), folder("silver"), folder("ckpt")
+    stamped = d.stamped(spark, SF).where("l_linenumber <= 2").drop("l_linenumber")
+    later = F.col("region") == "us"
+    land(stamped.where(~later), root)
+    run_increment(spark, root, silver, checkpoint, d.AS_OF)
+    os.rename(checkpoint, checkpoint + "-before-reset")
+    land(stamped.where(later), root)
+    run_increment(spark, root, silver, checkpoint, d.AS_OF)
+    assert rows(spark.read.parquet(silver)) == rows(silver_statistics(read_envelopes(spark, root), d.AS_OF))
+
+
+def test_many_touched_days_stay_in_the_partition_filter(spark, folder):
+    path = folder("days")
+    table = spark.range(1500).select(F.lit("us").alias("region"), F.expr("date_add(date'2000-01-01', cast(id as int))").alias("trending_date_parsed"), "id")
+    table.coalesce(1).write.partitionBy("region", "trending_date_parsed").parquet(path)
+    touched = table.where("id % 5 <> 0").select("region", "trending_date_parsed")
+    kept = in_partitions(spark.read.parquet(path), touched)
+    assert touched.count() == 1200 == kept.count()
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert any("PartitionFilters" in line and "trending_date_parsed" in line.split("PartitionFilters")[1] for line in plan.splitlines())
+
+
+def test_a_merge_keeps_columns_that_the_batch_lacks(spark, history, folder):
+    path = folder("grown")
+    rows_of = lambda video, **more: silver_statistics(history({"video_id": video, **more}), datetime(2021, 1, 1))
+    merge_snapshots(rows_of("a").withColumn("note", F.lit("n")), path)
+    merge_snapshots(rows_of("b"), path)
+    merge_snapshots(rows_of("c"), path)
+    table = spark.read.option("mergeSchema", True).parquet(path)
+    assert {(r.video_id, r.note) for r in table.collect()} == {("a", "n"), ("b", None), ("c", None)}
+
+
+def test_indented_responses_stream_as_they_read(spark, folder):
+    root, silver, checkpoint = d.pretty_zone(spark, SF), folder("silver"), folder("ckpt")
+    run_increment(spark, root, silver, checkpoint, d.AS_OF, one_per_file=True)
+    whole = read_envelopes(spark, root, one_per_file=True)
+    assert rows(spark.read.parquet(silver)) == rows(silver_statistics(whole, d.AS_OF))
+    assert spark.read.parquet(f"{checkpoint}/errors").count() == whole.where("items is null").count()
+
+
+def test_only_touched_days_of_gold_are_rebuilt(spark, folder):
+    root = folder("days-of-gold")
+    stamped = d.stamped(spark, SF).drop("l_linenumber")
+    few = (F.col("region") == "us") & (F.year("date") == 2015)
+    assert go(spark, root, payloads=stamped.where(~few), database="default").succeeded
+    files = lambda run, mart: {r.f for r in run.table(mart).select(F.input_file_name().alias("f")).collect()}
+    first = go(spark, root, payloads=stamped.where("false"))
+    assert first.outcome["gold"] == ("succeeded", "marts are up to date")
+    before = files(first, "trending_analytics")
+    second = go(spark, root, payloads=stamped.where(few), database="default")
+    assert second.succeeded, second.outcome
+    after = files(second, "trending_analytics")
+    assert before & after and after - before and all("region=us" in f for f in after - before)
+    whole = go(spark, folder("whole"), payloads=stamped)
+    for mart in ("trending_analytics", "channel_analytics", "category_analytics"):
+        columns = [c for c in whole.table(mart).columns if c != "_aggregated_at"]
+        assert sorted(map(str, second.table(mart).select(*columns).collect())) == sorted(map(str, whole.table(mart).select(*columns).collect()))
+    assert spark.table("default.clean_statistics").count() == second.table("clean_statistics").count()

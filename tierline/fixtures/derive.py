@@ -27,10 +27,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fact table. A file too small to feed all cores is dealt out first; a large one is left as it is."""
-    rows = table(spark, sf_dir, "lineitem")
-    cores = spark.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+    """The fact table, dealt out over all tasks."""
+    return table(spark, sf_dir, "lineitem").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def once(spark: SparkSession, label: str, sf_dir: str, write) -> str:
@@ -104,7 +102,8 @@ def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("l_partkey"),
         F.col("p_name").alias("title"),
-        F.expr("cast(p_size as string)").alias("category_id"),
+        # ids that no document has, for every tenth size
+        F.expr("cast(if(p_size % 10 = 0, p_size + 1000, p_size) as string)").alias("category_id"),
         F.concat_ws("|", "p_brand", "p_type").alias("tags"),
     )
     return (
@@ -178,6 +177,10 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stamped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stamped_orders(spark, sf_dir).drop("l_orderkey")
+
+
+def stamped_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Payloads as they lie in the landing zone after many runs, each with its own landing time."""
     region = F.expr("lower(trim(region))")
     return payloads(spark, sf_dir).select(
@@ -192,6 +195,7 @@ def stamped(spark: SparkSession, sf_dir: str) -> DataFrame:
         region.alias("region"),
         "date",
         "hour",
+        "l_orderkey",
         "l_linenumber",
     )
 
@@ -212,11 +216,48 @@ def history_zone(spark: SparkSession, sf_dir: str) -> str:
     return once(spark, "history", sf_dir, write)
 
 
+def history_copies(spark: SparkSession, sf_dir: str) -> str:
+    """The history rows written twice, so that each has a copy in another file, with the columns in reverse order."""
+
+    def write(path: str) -> None:
+        rows = snapshots(spark, sf_dir).drop(LANDED_AT, SOURCE_FILE).withColumn("region", F.expr("lower(trim(region))"))
+        for _ in range(2):
+            rows.select(*reversed(rows.columns)).hint("rebalance", "region").write.mode("append").option(
+                "header", True
+            ).option("escape", '"').partitionBy("region").csv(path)
+
+    return once(spark, "history-copies", sf_dir, write)
+
+
+#: Orders in one indented response.
+ORDERS_PER_RESPONSE = 6000
+
+
+def pretty_zone(spark: SparkSession, sf_dir: str) -> str:
+    """Indented responses as an API lands them, one file each, with the items of a range of orders for a region and
+    hour; every seventh range is cut off. A range holds a fixed number of orders, so a response has a bounded size."""
+
+    def write(path: str) -> None:
+        place = ("region", "date", "hour")
+        rows = stamped_orders(spark, sf_dir).withColumn("part", F.expr(f"l_orderkey div {ORDERS_PER_RESPONSE}"))
+        responses = rows.groupBy(*place, "part").agg(
+            F.flatten(F.sort_array(F.collect_list("items"))).alias("items"),
+            F.max("_pipeline_metadata.ingestion_timestamp").alias("landed"),
+        )
+        stamp = F.struct(
+            F.col("region"), F.col("landed").alias("ingestion_timestamp"), F.size("items").cast("bigint").alias("video_count")
+        )
+        text = F.to_json(F.struct("items", stamp.alias("_pipeline_metadata")), {"pretty": "true"})
+        cut = F.when(F.col("part") % 7 == 3, text.substr(1, 200)).otherwise(text)
+        responses.select(*place, cut.alias("value")).write.option("maxRecordsPerFile", 1).partitionBy(*place).text(path)
+
+    return once(spark, "pretty", sf_dir, write)
+
+
 def category_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Category titles per brand, the brand standing for a region; some brands use other titles."""
     return (
         table(spark, sf_dir, "part")
-        .where("p_size between 1 and 50 and p_size % 10 <> 0")
         .select(
             F.expr("lower(replace(p_brand, '#', ''))").alias("region"),
             F.expr("cast(substr(p_brand, 7) as int)").alias("brand"),
@@ -266,3 +307,21 @@ def reference_zone(spark: SparkSession, sf_dir: str) -> str:
         ).text(path)
 
     return once(spark, "reference", sf_dir, write)
+
+
+def reference_days_zone(spark: SparkSession, sf_dir: str) -> str:
+    """Three days of documents for each brand, titles named by day; every fourth brand's last document is cut off."""
+
+    def write(path: str) -> None:
+        entries = category_titles(spark, sf_dir).withColumn("day", F.explode(F.array(*map(F.lit, range(3)))))
+        item = "named_struct('id', cast(p_size as string), 'snippet', named_struct('title', concat(title, '-d', day)))"
+        documents = entries.groupBy("region", "brand", "day").agg(
+            F.expr(f"transform(array_sort(collect_list(struct(p_size, {item} as item))), e -> e.item)").alias("items")
+        )
+        text = "to_json(named_struct('items', items))"
+        cut = f"if(day = 2 and brand % 4 = 1, substr({text}, 1, 25), {text})"
+        documents.select(
+            "region", F.expr("date_add(date'2021-05-29', day)").alias("date"), F.expr(cut).alias("value")
+        ).write.partitionBy("region", "date").text(path)
+
+    return once(spark, "reference-days", sf_dir, write)

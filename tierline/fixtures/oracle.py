@@ -60,7 +60,7 @@ dated as (
 
 RAW = f"""{DATED},
 raw as (
-  select video_id, trending_date, p_name as title, s_name as channel_title, cast(p_size as varchar) as category_id,
+  select video_id, trending_date, p_name as title, s_name as channel_title, cast(case when p_size % 10 = 0 then p_size + 1000 else p_size end as varchar) as category_id,
     strftime(o_orderdate, '%Y-%m-%d') as publish_time, p_brand || '|' || p_type as tags,
     views, likes, dislikes, comment_count,
     case when l_linenumber <> 4 then 'thumb/' || l_partkey end as thumbnail_link,
@@ -103,7 +103,7 @@ TITLES = """
 titles as (
   select distinct lower(replace(p_brand, '#', '')) as region, cast(substr(p_brand, 7) as int) as brand, p_size,
     'cat-' || (p_size % 7) || case when cast(substr(p_brand, 7) as int) % 4 = 0 then '-alt' else '' end as title
-  from part where p_size between 1 and 50 and p_size % 10 <> 0)"""
+  from part)"""
 
 LOOKUP = f"""{TITLES},
 lookup as (
@@ -486,7 +486,8 @@ sql(
     "kpi_row",
     TRENDING + "," + CHANNELS.lstrip(),
     f"select {big('sum(total_videos)')} as total_videos, {big('sum(total_views)')} as total_views, "
-    "round(avg(avg_engagement_rate), 3) as avg_engagement, "
+    "cast(sum(floor(avg_engagement_rate * 10000 + 0.5)) as double) / (count(avg_engagement_rate) * cast(10000 as double)) "
+    "as avg_engagement, "
     "(select count(distinct channel_title) from channels) as total_channels from trending",
 )
 sql(
@@ -587,14 +588,26 @@ sql(
         for t in ("silver", "defects")
     ),
 )
+LATEST = "max(cast(landed_at as timestamp))"
+FRESH = {
+    "fresh": (f"{LATEST} >= timestamp '1998-11-30'", LATEST),
+    "stale": (f"{LATEST} - interval 490 hour >= timestamp '1998-11-30'", f"{LATEST} - interval 490 hour"),
+    "unreadable": ("count(*) >= 0", None),
+    "unstamped": ("count(*) >= 0", None),
+    "empty": ("count(*) < 0", "cast(null as timestamp)"),
+}
 sql(
     "dq_freshness",
-    "",
-    "select variant, 'freshness' as \"check\", passed, latest_record, cutoff from (values "
-    "('fresh', true, '2021-06-01 12:00:00', '2021-05-30 12:00:00'), "
-    "('stale', false, '2021-05-30 11:00:00', '2021-05-30 12:00:00'), ('unreadable', true, null, null), "
-    "('unstamped', true, null, null), ('empty', false, null, '2021-05-30 12:00:00')) "
-    "t(variant, passed, latest_record, cutoff)",
+    SILVER,
+    " union all ".join(
+        f"select '{variant}' as variant, 'freshness' as \"check\", {passed} as passed, "
+        + (
+            f"strftime({latest}, '%Y-%m-%d %H:%M:%S') as latest_record, '1998-11-30 00:00:00' as cutoff from silver"
+            if latest
+            else "cast(null as varchar) as latest_record, cast(null as varchar) as cutoff from silver"
+        )
+        for variant, (passed, latest) in FRESH.items()
+    ),
 )
 sql("dq_missing_table", GATE_GOOD, 'select "check", "table", "column", value, passed from results')
 sql(
@@ -609,12 +622,6 @@ sql(
     GATE_BAD,
     'select "check", "table", "column", value, negative_count, extreme_count from results where not passed',
 )
-sql(
-    "dq_sampled",
-    f"{SILVER},\nsampled as (select * from silver limit 10000),\nresults as ({all_checks('sampled', CRITICAL)})",
-    'select "check", "column", value, threshold, passed from results',
-)
-
 # sinks --------------------------------------------------------------------------
 
 sql(
@@ -650,18 +657,75 @@ sql(
     "select channel_title, region, total_videos, total_views, times_trending, "
     "array_to_string(categories, '|') as categories, rank_in_region from channels",
 )
+sql(
+    "gold_incremental",
+    f"{API_SILVER},{DOCUMENTS.lstrip()},\nenriched as (select * from silver)",
+    f"select {TRENDING_COLUMNS} from enriched group by region, trending_date_parsed",
+)
+REFERENCE_CHECKS = """
+  select 'row_count' as "check", 'clean_reference_data' as "table", cast(null as varchar) as "column",
+    cast(count(*) as double) as value, count(*) >= 10 as passed from last_entries
+  union all select 'null_pct', 'clean_reference_data', unnest(['id', 'region']), cast(0 as double), true
+  union all select 'schema', 'clean_reference_data', null, null, true
+  union all select 'freshness', 'clean_reference_data', null, null, count(*) > 0 from last_entries
+  union all select 'read_table', 'clean_comments', null, null, false"""
+sql(
+    "gated_missing_table",
+    f"{API_SILVER},{DOCUMENTS.lstrip()},\nresults as ({all_checks('silver', CRITICAL)})",
+    f'select "check", "table", "column", value, passed from results union all {REFERENCE_CHECKS}',
+)
+SILVER_COLUMNS = f"{STATISTICS}, trending_date_parsed, like_ratio, engagement_rate"
+ORACLE["incremental_after_reset"] = ORACLE["incremental_ingest"]
+sql(
+    "history_to_silver",
+    f"{CONFORMED},\ncleansed as ({CLEANSE})",
+    f"select {SILVER_COLUMNS} from cleansed qualify row_number() over (partition by video_id, region, "
+    "trending_date_parsed order by views desc, likes desc, title desc, tags desc, channel_title desc, category_id desc) = 1",
+)
+ORACLE["mixed_silver"] = f"({ORACLE['history_to_silver']}) union all ({ORACLE['incremental_ingest']})"
+sql(
+    "incremental_schema_growth",
+    SILVER,
+    "select video_id, region, views, case when views % 2 = 0 then 'n-' || title end as note from silver",
+)
+PRETTY = f"""{PAYLOADS},
+responses as (
+  select region, date, hour, l_orderkey // 6000 as part, sum(l_linenumber % 3) as items
+  from payloads group by all)"""
+sql(
+    "scan_envelopes_pretty",
+    PRETTY,
+    f"select region, date, hour, count(*) as envelopes, {big('sum(items)')} as items from responses "
+    "where part % 7 <> 3 group by region, date, hour",
+)
+sql(
+    "envelope_errors",
+    PRETTY,
+    "select region, 'not valid JSON' as error, cast(200 as int) as length, count(*) as files from responses "
+    "where part % 7 = 3 group by region",
+)
+sql(
+    "reference_latest_day",
+    TITLES,
+    "select region, cast(p_size as varchar) as id, title || '-d' || case when brand % 4 = 1 then 1 else 2 end "
+    "as snippet_title from titles",
+)
+READ = (
+    "(select count(*) from conformed) || ' rows read, ' || (select count(*) from silver) || ' rows kept, ' "
+    "|| (select (select count(*) from conformed) - count(*) from silver) || ' rows removed'"
+)
 sql(
     "run_report",
-    "",
-    """select run, cast(position as int) as position, stage, status, message from (values
+    API_SILVER,
+    f"""select run, cast(position as int) as position, stage, status, message from (values
   ('passed', 1, 'landing', 'succeeded', 'payloads landed'),
   ('passed', 2, 'reference', 'succeeded', 'reference rows written'),
-  ('passed', 3, 'statistics', 'succeeded', '1 new batches merged'),
+  ('passed', 3, 'statistics', 'succeeded', '1 new batches merged: ' || {READ}),
   ('passed', 4, 'quality_gate', 'succeeded', '14 of 14 checks passed'),
   ('passed', 5, 'gold', 'succeeded', 'marts written'),
   ('stopped', 1, 'landing', 'succeeded', 'payloads landed'),
   ('stopped', 2, 'reference', 'succeeded', 'reference rows written'),
-  ('stopped', 3, 'statistics', 'succeeded', 'all statistics rows rewritten'),
+  ('stopped', 3, 'statistics', 'succeeded', 'all statistics rows rewritten: ' || {READ}),
   ('stopped', 4, 'quality_gate', 'failed', '8 of 9 checks passed'),
   ('stopped', 5, 'gold', 'skipped', '')) t(run, position, stage, status, message)""",
 )

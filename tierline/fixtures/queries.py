@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
-from datetime import date, timedelta
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,10 +15,11 @@ from tierline.operators import cleanse, enrich, landing, marts, quality, referen
 from tierline.plans import contracts
 from tierline.plans.flow import run_flow
 from tierline.plans.gold import lookup_or_none
-from tierline.plans.silver import cleansed, silver_reference, silver_statistics
+from tierline.plans.silver import SilverCount, cleansed, silver_reference, silver_statistics
 from tierline.session import fresh_path
 from tierline.sources import (
     append_partitions,
+    envelope_errors,
     grow_table,
     read_envelopes,
     read_history_csv,
@@ -29,7 +30,7 @@ from tierline.sources import (
     replace_partitions,
     restrict_regions,
 )
-from tierline.streaming import run_increment
+from tierline.streaming import merge_snapshots, run_increment, take_in
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -56,6 +57,25 @@ def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich.enrich_category(_silver(spark, sf_dir), _lookup(spark, sf_dir))
 
 
+def _mart(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """A stored mart, as serving queries find it."""
+    path = d.once(spark, name, sf_dir, lambda p: build(_enriched(spark, sf_dir)).write.parquet(p))
+    return spark.read.parquet(path)
+
+
+def _trending_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _mart(spark, sf_dir, "trending-mart", marts.trending_analytics)
+
+
+def _category_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _mart(spark, sf_dir, "category-mart", marts.category_analytics)
+
+
+def _channel_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranges = fresh_path(spark, "ranges")
+    return _mart(spark, sf_dir, "channel-mart", lambda enriched: marts.channel_analytics(enriched, ranges))
+
+
 def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shape.explode_items(d.stamped(spark, sf_dir))
 
@@ -91,6 +111,24 @@ def scan_history_csv(spark, sf_dir):
     return rows.select("video_id", "trending_date", "title", "category_id", "views", "description", "region")
 
 
+@query
+def scan_envelopes_pretty(spark, sf_dir):
+    envelopes = read_envelopes(spark, d.pretty_zone(spark, sf_dir), one_per_file=True)
+    return envelopes.where("items is not null").groupBy("region", "date", "hour").agg(
+        F.count(F.lit(1)).alias("envelopes"), F.sum(F.size("items").cast("bigint")).alias("items")
+    )
+
+
+@query
+def envelope_error_rows(spark, sf_dir):
+    envelopes = read_envelopes(spark, d.pretty_zone(spark, sf_dir), one_per_file=True)
+    errors = envelope_errors(envelopes).select(_file_region(), "error", F.length("text").alias("length"))
+    return errors.groupBy("region", "error", "length").agg(F.count(F.lit(1)).alias("files"))
+
+
+QUERIES["envelope_errors"] = QUERIES.pop("envelope_error_rows")
+
+
 @query
 def scan_reference(spark, sf_dir):
     documents = _documents(spark, sf_dir)
@@ -134,6 +172,50 @@ def incremental_ingest(spark, sf_dir):
     )
 
 
+SILVER_COLUMNS = (*contracts.STATISTICS_COLUMNS, "trending_date_parsed", "like_ratio", "engagement_rate")
+
+
+# which of several snapshots with one key stays where files can't tell which is newer
+LARGEST = ("views", "likes", "title", "tags", "channel_title", "category_id")
+
+
+@query
+def incremental_after_reset(spark, sf_dir):
+    """Half of the files, then all of them with a stream that starts anew over the same table."""
+    root, silver = fresh_path(spark, "reset"), fresh_path(spark, "reset-silver")
+    for portion in ("l_linenumber <= 3", "l_linenumber > 3"):
+        landing.land(d.stamped(spark, sf_dir).where(portion).drop("l_linenumber"), root)
+        run_increment(spark, root, silver, fresh_path(spark, "reset-checkpoint"), d.AS_OF)
+    return spark.read.parquet(silver).select(*SILVER_COLUMNS)
+
+
+@query
+def incremental_schema_growth(spark, sf_dir):
+    """Rows with a column more, then rows of the same region-days without it."""
+    path = fresh_path(spark, "growing-silver")
+    rows = _silver(spark, sf_dir)
+    merge_snapshots(rows.where("views % 2 = 0").withColumn("note", F.concat(F.lit("n-"), "title")), path)
+    merge_snapshots(rows.where("views % 2 <> 0"), path)
+    return spark.read.option("mergeSchema", True).parquet(path).select("video_id", "region", "views", "note")
+
+
+@query
+def history_to_silver(spark, sf_dir):
+    """History with copies in other files and columns in another order."""
+    rows = read_history_csv(spark, d.history_copies(spark, sf_dir))
+    return silver_statistics(rows, d.AS_OF, latest=LARGEST).select(*SILVER_COLUMNS)
+
+
+@query
+def mixed_silver(spark, sf_dir):
+    """API files and history in one table."""
+    silver = fresh_path(spark, "mixed-silver")
+    take_in(spark, d.landing_zone(spark, sf_dir), silver, fresh_path(spark, "mixed-checkpoint"), d.AS_OF)
+    history = read_history_csv(spark, d.history_zone(spark, sf_dir))
+    merge_snapshots(silver_statistics(history, d.AS_OF, latest=LARGEST), silver)
+    return spark.read.parquet(silver).select(*SILVER_COLUMNS)
+
+
 @query
 def empty_input_noop(spark, sf_dir):
     path = fresh_path(spark, "noop")
@@ -347,7 +429,9 @@ def dedup_latest(spark, sf_dir):
 @query
 def silver_counters(spark, sf_dir):
     raw = d.snapshots(spark, sf_dir)
-    return cleanse.silver_counters(raw, silver_statistics(raw, d.AS_OF))
+    count = SilverCount(raw, d.AS_OF)
+    count.silver.write.parquet(fresh_path(spark, "counted"))
+    return spark.createDataFrame([count.counts()], ", ".join(f"{n} bigint" for n in sorted(count.counts())))
 
 
 @query
@@ -391,6 +475,12 @@ def reference_lineage(spark, sf_dir):
     )
 
 
+@query
+def reference_latest_day(spark, sf_dir):
+    documents = read_reference(spark, d.reference_days_zone(spark, sf_dir))
+    return silver_reference(documents, d.AS_OF, newest_only=True).select("region", "id", "snippet_title")
+
+
 @query
 def region_from_path(spark, sf_dir):
     paths = d.payloads(spark, sf_dir).select(
@@ -449,7 +539,7 @@ def trending_analytics(spark, sf_dir):
 
 @query
 def channel_analytics(spark, sf_dir):
-    return marts.channel_analytics(_enriched(spark, sf_dir))
+    return marts.channel_analytics(_enriched(spark, sf_dir), fresh_path(spark, "ranges"))
 
 
 @query
@@ -464,7 +554,7 @@ def multi_distinct(spark, sf_dir):
 
 @query
 def rank_in_region(spark, sf_dir):
-    rows = marts.channel_analytics(_enriched(spark, sf_dir))
+    rows = marts.channel_analytics(_enriched(spark, sf_dir), fresh_path(spark, "ranges"))
     return rows.select("region", "channel_title", "total_views", "rank_in_region")
 
 
@@ -479,38 +569,36 @@ def view_share_pct(spark, sf_dir):
 
 @query
 def top_channels_region(spark, sf_dir):
-    return serving.top_channels_region(marts.channel_totals(_enriched(spark, sf_dir)), "ASIA")
+    return serving.top_channels_region(_channel_mart(spark, sf_dir), "ASIA")
 
 
 @query
 def top_channels(spark, sf_dir):
-    return serving.top_channels(marts.channel_analytics(_enriched(spark, sf_dir)))
+    return serving.top_channels(_channel_mart(spark, sf_dir))
 
 
 @query
 def views_by_region(spark, sf_dir):
-    return serving.views_by_region(marts.trending_analytics(_enriched(spark, sf_dir)))
+    return serving.views_by_region(_trending_mart(spark, sf_dir))
 
 
 @query
 def category_share_top8(spark, sf_dir):
-    return serving.category_share_top(marts.category_analytics(_enriched(spark, sf_dir)))
+    return serving.category_share_top(_category_mart(spark, sf_dir))
 
 
 @query
 def kpi_row(spark, sf_dir):
-    enriched = _enriched(spark, sf_dir)
-    return serving.kpi_row(marts.trending_analytics(enriched), marts.channel_totals(enriched))
+    return serving.kpi_row(_trending_mart(spark, sf_dir), _channel_mart(spark, sf_dir))
 
 
 @query
 def region_filter(spark, sf_dir):
-    enriched = _enriched(spark, sf_dir)
     counted = None
     for name, mart in (
-        ("trending", marts.trending_analytics(enriched)),
-        ("channel", marts.channel_totals(enriched)),
-        ("category", marts.category_totals(enriched)),
+        ("trending", _trending_mart(spark, sf_dir)),
+        ("channel", _channel_mart(spark, sf_dir)),
+        ("category", _category_mart(spark, sf_dir)),
     ):
         for choice in ("All", "Europe"):
             one = serving.region_filter(mart, choice).agg(
@@ -524,18 +612,14 @@ def region_filter(spark, sf_dir):
 # quality --------------------------------------------------------------------
 
 
-def _fresh_silver(spark, sf_dir):
-    return _silver(spark, sf_dir)
-
-
 def _check(spark, sf_dir, check, df=None, rules=None, **options):
-    df = _fresh_silver(spark, sf_dir) if df is None else df
+    df = _silver(spark, sf_dir) if df is None else df
     return quality.run_checks(df, STATS, d.AS_OF, rules, checks=[check], **options)
 
 
 def _with_defects(spark, sf_dir):
     """Silver with nulls in channel_title, negative and absurd views, and no title column."""
-    return _fresh_silver(spark, sf_dir).withColumns(
+    return _silver(spark, sf_dir).withColumns(
         {
             "channel_title": F.when(F.col("dislikes") != 3, F.col("channel_title")),
             "views": F.when(F.col("dislikes") == 1, -F.col("views"))
@@ -581,15 +665,17 @@ def dq_value_range(spark, sf_dir):
 
 @query
 def dq_freshness(spark, sf_dir):
-    silver = _fresh_silver(spark, sf_dir)
-    stale = silver.withColumn("_processed_at", F.lit(d.AS_OF - timedelta(hours=49)))
+    """Stamps are the rows' own landing days, checked as of the end of the tables' time."""
+    landed = F.col(contracts.LANDED_AT).cast("timestamp")
+    silver = _silver(spark, sf_dir).withColumn("_processed_at", landed)
+    stale = silver.withColumn("_processed_at", landed - F.expr("interval 490 hours"))
     unreadable = silver.withColumn("_processed_at", F.lit("yesterday"))
     unstamped = silver.drop("_processed_at")
     empty = silver.where("views < 0")
     variants = {"fresh": silver, "stale": stale, "unreadable": unreadable, "unstamped": unstamped, "empty": empty}
     checked = None
     for name, df in variants.items():
-        one = _check(spark, sf_dir, "freshness", df).select(
+        one = quality.run_checks(df, STATS, datetime(1998, 12, 2), checks=["freshness"]).select(
             F.lit(name).alias("variant"),
             "check",
             "passed",
@@ -607,12 +693,12 @@ def _gate(spark, sf_dir, silver):
 
 @query
 def dq_missing_table(spark, sf_dir):
-    return _gate(spark, sf_dir, _fresh_silver(spark, sf_dir)).select("check", "table", "column", "value", "passed")
+    return _gate(spark, sf_dir, _silver(spark, sf_dir)).select("check", "table", "column", "value", "passed")
 
 
 @query
 def dq_summary(spark, sf_dir):
-    good = quality.summary(quality.run_checks(_fresh_silver(spark, sf_dir), STATS, d.AS_OF))
+    good = quality.summary(quality.run_checks(_silver(spark, sf_dir), STATS, d.AS_OF))
     bad = quality.summary(_gate(spark, sf_dir, _with_defects(spark, sf_dir)))
     return good.unionByName(bad)
 
@@ -623,13 +709,6 @@ def dq_failures(spark, sf_dir):
     return failed.select("check", "table", "column", "value", "negative_count", "extreme_count")
 
 
-@query
-def dq_sampled(spark, sf_dir):
-    """The sampling option itself: any 10,000 rows."""
-    sampled = quality.run_checks(_fresh_silver(spark, sf_dir), STATS, d.AS_OF, sample_rows=10_000)
-    return sampled.select("check", "column", "value", "threshold", "passed")
-
-
 # sinks ----------------------------------------------------------------------
 
 
@@ -696,6 +775,23 @@ def gated_gold(spark, sf_dir):
     )
 
 
+@query
+def gold_incremental(spark, sf_dir):
+    """The daily mart after two runs, of which the second rebuilt what its files touched."""
+    root, documents = fresh_path(spark, "two-runs"), _documents(spark, sf_dir)
+    for portion in ("l_linenumber <= 3", "l_linenumber > 3"):
+        payloads = d.stamped(spark, sf_dir).where(portion).drop("l_linenumber")
+        run = run_flow(spark, payloads, documents, root, d.AS_OF)
+    return run.table("trending_analytics").drop("_aggregated_at")
+
+
+@query
+def gated_missing_table(spark, sf_dir):
+    """All checks of a run, one of whose tables does not exist."""
+    run = _run(spark, sf_dir, {**contracts.QUALITY_RULES, "clean_comments": contracts.QualityRules(critical=("id",))})
+    return run.table("quality").select("check", "table", "column", "value", "passed")
+
+
 @query
 def run_report(spark, sf_dir):
     """An incremental run that passes the gate and a rebuild that cannot, as their report rows."""

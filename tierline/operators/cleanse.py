@@ -64,14 +64,10 @@ def dedup_latest(
     return df.withColumn("_nth", F.row_number().over(newest)).where("_nth = 1").drop("_nth")
 
 
-def silver_counters(raw: DataFrame, silver: DataFrame) -> DataFrame:
-    """Rows in, rows kept, rows removed, nulls in watched columns, negative views: one pass per side."""
-    kept = silver.agg(
+def kept_counts() -> list[Column]:
+    """Aggregates over Silver rows: how many, nulls in watched columns, negative views."""
+    return [
         F.count(F.lit(1)).alias("rows_kept"),
         *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in WATCHED],
         F.count_if(F.col("views") < 0).alias("negative_views"),
-    )
-    read = raw.agg(F.count(F.lit(1)).alias("rows_read")).scalar()
-    return kept.withColumn("rows_read", read).withColumn(
-        "rows_removed", F.col("rows_read") - F.col("rows_kept")
-    )
+    ]

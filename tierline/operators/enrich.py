@@ -6,22 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 UNKNOWN = "Unknown"
-BROADCAST_ROWS = 200_000
-BROADCAST_BYTES = 32 * 1024 * 1024
-
-
-def broadcast_if_small(side: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
-    """Hints a broadcast after measuring ``side``; beyond the bounds it stays a plain join side.
-
-    Rows and text bytes are counted by one aggregate. Without the hint Spark
-    joins by shuffle, where AQE splits a key that holds too many rows.
-    """
-    widths = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in side.columns]
-    measured = side.agg(
-        F.count(F.lit(1)).alias("rows"), *[F.sum(w).alias(f"bytes_{i}") for i, w in enumerate(widths)]
-    ).first()
-    total = sum(measured[f"bytes_{i}"] or 0 for i in range(len(widths)))
-    return F.broadcast(side) if measured["rows"] <= rows and total <= size else side
 
 
 def unknown_fill(df: DataFrame) -> DataFrame:
@@ -32,8 +16,12 @@ def unknown_fill(df: DataFrame) -> DataFrame:
 
 
 def enrich_category(statistics: DataFrame, lookup: DataFrame | None) -> DataFrame:
-    """Left join on the category id; without a lookup all names are unknown."""
+    """Left join on the category id; without a lookup all names are unknown.
+
+    There is no hint: adaptive execution measures the lookup and broadcasts it within
+    ``spark.sql.autoBroadcastJoinThreshold``; beyond that it joins by shuffle and splits a frequent category.
+    """
     if lookup is None:
         return unknown_fill(statistics)
     keyed = statistics.withColumn("category_id", F.col("category_id").cast("bigint"))
-    return unknown_fill(keyed.join(broadcast_if_small(lookup), "category_id", "left"))
+    return unknown_fill(keyed.join(lookup, "category_id", "left"))

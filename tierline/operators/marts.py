@@ -8,8 +8,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierline.functions import exact_mean, share_pct
-from tierline.operators.ranking import rank_rows
-from tierline.session import materialise
+from tierline.operators.enrich import enrich_category
+from tierline.operators.ranking import rank_ranges, write_ranges
+
+
+#: Rates have four digits; their sums are kept in whole ten-thousandths.
+RATE_SCALE = 10_000
 
 
 def aggregated_at(df: DataFrame, as_of: datetime | None = None) -> DataFrame:
@@ -64,14 +68,71 @@ def channel_totals(enriched: DataFrame) -> DataFrame:
     )
 
 
-def rank_in_region(channels: DataFrame) -> DataFrame:
-    """Position of a channel in its region by total views; equal views go by title."""
-    return rank_rows(channels, "region", "total_views", "channel_title", "rank_in_region")
+def channel_days(statistics: DataFrame) -> DataFrame:
+    """What one day adds to a channel's totals, in sums that can be added up; category ids with null as one of them."""
+    rate = F.col("engagement_rate")
+    return statistics.groupBy("channel_title", "region", "trending_date_parsed").agg(
+        F.sum("views").alias("views"),
+        F.count("views").alias("n_views"),
+        F.sum("likes").alias("likes"),
+        F.sum("comment_count").alias("comments"),
+        F.sum(F.rint(rate * float(RATE_SCALE))).alias("rates"),
+        F.count(rate).alias("n_rates"),
+        F.max("views").alias("peak"),
+        F.count("trending_date_parsed").alias("times"),
+        F.expr("collect_list(distinct struct(category_id))").alias("category_ids"),
+    )
+
+
+def totals_from_days(days: DataFrame, statistics: DataFrame, lookup: DataFrame | None) -> DataFrame:
+    """The same as ``channel_totals`` from the stored days; of ``statistics`` only three columns are read.
+
+    A video counts once however many days it has, and day sums don't know that.
+    """
+    key = ("channel_title", "region")
+    sums = days.groupBy(*key).agg(
+        F.sum("views").alias("total_views"),
+        F.sum("likes").alias("total_likes"),
+        F.sum("comments").alias("total_comments"),
+        F.try_divide(F.sum("views").cast("double"), F.sum("n_views")).alias("avg_views_per_video"),
+        F.try_divide(F.sum("rates"), F.sum("n_rates") * F.lit(float(RATE_SCALE))).alias("avg_engagement_rate"),
+        F.max("peak").alias("peak_views"),
+        F.sum("times").alias("times_trending"),
+        F.min("trending_date_parsed").alias("first_trending"),
+        F.max("trending_date_parsed").alias("last_trending"),
+    )
+    ids = days.select(*key, F.explode("category_ids").alias("of")).select(*key, "of.category_id").distinct()
+    names = enrich_category(ids, lookup).groupBy(*key).agg(
+        F.expr("array_sort(collect_list(distinct category_name))").alias("categories")
+    )
+    videos = statistics.groupBy(*key).agg(F.countDistinct("video_id").alias("total_videos"))
+    out = sums
+    for other, name in ((names, "categories"), (videos, "total_videos")):
+        other = other.select(*[F.col(k).alias(f"_{k}") for k in key], name)
+        same = F.col(key[0]).eqNullSafe(F.col(f"_{key[0]}")) & F.col(key[1]).eqNullSafe(F.col(f"_{key[1]}"))
+        out = out.join(other, same, "left").drop(*[f"_{k}" for k in key])
+    return out.select(
+        *key, "total_videos", "total_views", "total_likes", "total_comments", "avg_views_per_video",
+        "avg_engagement_rate", "peak_views", "times_trending", "first_trending", "last_trending", "categories",
+    )
+
+
+RANKING = ("region", "total_views", "channel_title")
+
+
+def rank_in_region(channels: DataFrame, path: str) -> DataFrame:
+    """Position of a channel in its region by total views; equal views go by title.
+
+    ``channels`` is written to ``path``, a new folder of the caller's, and ranked from there: the job runs when this
+    is called.
+    """
+    write_ranges(channels, path, *RANKING)
+    return rank_ranges(channels.sparkSession.read.parquet(path), *RANKING, "rank_in_region")
 
 
-def channel_analytics(enriched: DataFrame) -> DataFrame:
-    """Channel totals with their rank. The totals are written once, then ranked from that table."""
-    return rank_in_region(materialise(channel_totals(enriched), "channel-totals"))
+def channel_analytics(enriched: DataFrame, path: str) -> DataFrame:
+    """Channel totals with their rank; the totals are written to ``path`` on the way."""
+    return rank_in_region(channel_totals(enriched), path)
 
 
 def category_totals(enriched: DataFrame) -> DataFrame:

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from datetime import datetime, timedelta
+from datetime import datetime
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -41,10 +42,15 @@ class _Plan:
         self.now = F.current_timestamp() if as_of is None else F.lit(as_of)
         self.aggregates: list[Column] = [F.count(F.lit(1)).alias("rows")]
         self.results: list[Column] = []
+        self.constants: list[Column] = []
 
     def _add(self, check: str, **given: Column) -> None:
         self.results.append(_result(check=F.lit(check), table=F.lit(self.table), **given))
 
+    def _add_constant(self, check: str, **given: Column) -> None:
+        """A result that follows from the schema."""
+        self.constants.append(_result(check=F.lit(check), table=F.lit(self.table), **given))
+
     def row_count(self) -> None:
         rows = F.col("rows")
         self._add(
@@ -59,7 +65,7 @@ class _Plan:
         limit = self.rules.max_null_pct
         for name in self.rules.critical:
             if name not in self.df.columns:
-                self._add(
+                self._add_constant(
                     "null_pct",
                     column=F.lit(name),
                     passed=F.lit(False),
@@ -80,7 +86,7 @@ class _Plan:
 
     def schema(self) -> None:
         missing = sorted(set(self.rules.critical) - set(self.df.columns))
-        self._add(
+        self._add_constant(
             "schema",
             missing_columns=F.array(*[F.lit(m) for m in missing]),
             passed=F.lit(not missing),
@@ -109,7 +115,7 @@ class _Plan:
     def freshness(self) -> None:
         stamp = next((s for s in self.rules.stamps if s in self.df.columns), None)
         if stamp is None:
-            self._add("freshness", passed=F.lit(True), message=F.lit("no time stamp column, not checked"))
+            self._add_constant("freshness", passed=F.lit(True), message=F.lit("no time stamp column, not checked"))
             return
         parsed = F.col(stamp).try_cast("timestamp")
         if isinstance(self.df.schema[stamp].dataType, T.StringType):
@@ -146,16 +152,17 @@ def run_checks(
     as_of: datetime | None = None,
     rules: QualityRules | None = None,
     checks: Iterable[str] = CHECKS,
-    sample_rows: int | None = None,
 ) -> DataFrame:
-    """The named checks over the whole table, in one pass. ``sample_rows`` looks at any n rows instead."""
+    """The named checks over the whole table, in one pass; checks of the schema alone need no scan."""
     plan = _Plan(df, table, rules or QUALITY_RULES.get(table, QualityRules(critical=())), as_of)
     for check in checks:
         getattr(plan, check)()
-    scanned = df if sample_rows is None else df.limit(sample_rows)
-    if not plan.results:
-        return df.sparkSession.createDataFrame([], RESULT)
-    return scanned.agg(*plan.aggregates).select(F.inline(F.array(*plan.results)))
+    parts = []
+    if plan.constants:
+        parts.append(df.sparkSession.range(1).select(F.inline(F.array(*plan.constants))))
+    if plan.results:
+        parts.append(df.agg(*plan.aggregates).select(F.inline(F.array(*plan.results))))
+    return reduce(DataFrame.unionByName, parts) if parts else df.sparkSession.createDataFrame([], RESULT)
 
 
 def unreadable_table(spark: SparkSession, table: str, reason: str) -> DataFrame:
@@ -178,6 +185,15 @@ def check_table(spark: SparkSession, name: str, table: str | None = None, **opti
     return run_checks(df, label, **options)
 
 
+def check_path(spark: SparkSession, path: str, table: str, **options) -> DataFrame:
+    """Checks the Parquet table at ``path``; one that cannot be read becomes a failed check."""
+    try:
+        df = spark.read.parquet(path)
+    except AnalysisException as error:
+        return unreadable_table(spark, table, error.getCondition() or "table cannot be read")
+    return run_checks(df, table, **options)
+
+
 def summary(results: DataFrame) -> DataFrame:
     return results.agg(
         F.coalesce(F.bool_and("passed"), F.lit(True)).alias("quality_passed"),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tierline.functions import region_from_path, to_long
 from tierline.operators.shape import flatten_struct
 from tierline.plans.contracts import CATEGORY_ITEM, SOURCE_FILE
-from tierline.sources.readers import CORRUPT
+from tierline.sources.readers import CORRUPT, WRITTEN_AT
 
 
 def _entries() -> Column:
@@ -61,6 +61,19 @@ def validate_reference(documents: DataFrame) -> DataFrame:
     )
 
 
+def newest_documents(documents: DataFrame) -> DataFrame:
+    """The newest document of each region that can be read, by its day and then by when it was written.
+
+    Regions stand in the path. A newer document replaces the older one whole; one that can't be read replaces nothing.
+    """
+    region = region_from_path(F.col(SOURCE_FILE))
+    newest = Window.partitionBy("_of_region").orderBy(
+        *[F.col(c).desc_nulls_last() for c in ("date", WRITTEN_AT, SOURCE_FILE) if c in documents.columns]
+    )
+    ranked = readable(documents).withColumn("_of_region", region).withColumn("_nth", F.row_number().over(newest))
+    return ranked.where("_nth = 1").drop("_nth", "_of_region")
+
+
 def flatten_reference(documents: DataFrame) -> DataFrame:
     """One row per item with snake-case leaves, plus ``position`` in the file."""
     rows = documents.select(SOURCE_FILE, F.posexplode(_entries()).alias("position", "item"))

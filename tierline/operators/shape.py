@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tierline.functions import tags_text, to_bool, to_long
 from tierline.functions.text import SHORT_DATE_FORMAT
-from tierline.plans.contracts import LANDED_AT, SOURCE_FILE, STATISTICS, Field
+from tierline.plans.contracts import CORRUPT, LANDED_AT, SOURCE_FILE, STATISTICS, Field
 
 ORIGIN = (LANDED_AT, SOURCE_FILE)
 
@@ -121,10 +121,12 @@ def conform_api(items: DataFrame, as_of: date | None = None) -> DataFrame:
 
 
 def conform_csv(rows: DataFrame) -> DataFrame:
-    """The contract columns from history rows, which already carry the target names."""
+    """The contract columns from history rows, which already carry the target names. Rows that didn't fit are left out."""
     missing = [f.name for f in STATISTICS if f.name not in rows.columns]
     if missing:
         raise ValueError(f"history rows lack {missing}")
+    if CORRUPT in rows.columns:
+        rows = rows.where(F.col(CORRUPT).isNull())
     return rows.select(
         *[_typed(F.col(f.name), f, rows.schema[f.name].dataType).alias(f.name) for f in STATISTICS],
         *_present(rows, ORIGIN),

@@ -49,6 +49,8 @@ SNAPSHOT_KEY: tuple[str, ...] = ("video_id", "region", "trending_date_parsed")
 # where a row came from; carried next to the contract so the newest copy can be kept
 LANDED_AT = "_landed_at"
 SOURCE_FILE = "_source_file"
+# the text of a record that could not be read
+CORRUPT = "_corrupt_record"
 
 ITEM = T.StructType(
     [
@@ -162,3 +164,18 @@ QUALITY_RULES: dict[str, QualityRules] = {
 
 # fixed values: region codes the statistics job keeps when it is told to restrict itself
 CORE_REGIONS: tuple[str, ...] = ("ca", "gb", "in", "us")
+
+# fixed values: the columns of the marts
+MARTS: dict[str, str] = {
+    "trending_analytics": "region string, trending_date_parsed date, total_videos bigint, total_views bigint, "
+    "total_likes bigint, total_dislikes bigint, total_comments bigint, avg_views_per_video double, "
+    "avg_like_ratio double, avg_engagement_rate double, max_views bigint, unique_channels bigint, "
+    "unique_categories bigint",
+    "channel_analytics": "channel_title string, region string, total_videos bigint, total_views bigint, "
+    "total_likes bigint, total_comments bigint, avg_views_per_video double, avg_engagement_rate double, "
+    "peak_views bigint, times_trending bigint, first_trending date, last_trending date, categories array<string>, "
+    "rank_in_region bigint",
+    "category_analytics": "category_name string, category_id bigint, region string, trending_date_parsed date, "
+    "video_count bigint, total_views bigint, total_likes bigint, total_comments bigint, avg_engagement_rate double, "
+    "unique_channels bigint, view_share_pct double",
+}

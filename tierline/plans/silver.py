@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from tierline.operators import cleanse, reference, shape
 from tierline.plans.contracts import LANDED_AT, SOURCE_FILE
@@ -34,7 +35,29 @@ def silver_statistics(
     return cleanse.dedup_latest(cleansed(shape.conform(raw, trending_day), as_of, job_name), latest)
 
 
-def silver_reference(documents: DataFrame, as_of: datetime | None = None) -> DataFrame:
-    """Readable documents flattened, newest position per id and file, with lineage and region."""
-    rows = reference.flatten_reference(reference.readable(documents))
+class SilverCount:
+    """Counts rows on their way to Silver while it is written: rows in, rows kept, and what is odd about those kept.
+
+    ``silver`` is the observed frame. Its first action, a write, takes the counts; no other scan is made.
+    """
+
+    def __init__(self, raw: DataFrame, as_of: datetime | None = None):
+        self.read, self.kept = Observation(), Observation()
+        conformed = shape.conform(raw).observe(self.read, F.count(F.lit(1)).alias("rows_read"))
+        silver = cleanse.dedup_latest(cleansed(conformed, as_of))
+        self.silver = silver.observe(self.kept, *cleanse.kept_counts())
+
+    def counts(self) -> dict[str, int]:
+        """Waits for the write, then gives all counts."""
+        found = {**self.read.get, **self.kept.get}
+        return {**found, "rows_removed": found["rows_read"] - found["rows_kept"]}
+
+
+def silver_reference(documents: DataFrame, as_of: datetime | None = None, newest_only: bool = False) -> DataFrame:
+    """Readable documents flattened, newest position per id and file, with lineage and region.
+
+    ``newest_only`` takes the newest document of each region, as a table that each document overwrites would hold.
+    """
+    taken = reference.newest_documents(documents) if newest_only else reference.readable(documents)
+    rows = reference.flatten_reference(taken)
     return reference.lineage(reference.dedup_last(rows), as_of)

@@ -1,6 +1,8 @@
 """Readers and writers."""
 
 from tierline.sources.readers import (
+    envelope_errors,
+    history_errors,
     read_envelopes,
     read_history_csv,
     read_reference,
@@ -12,7 +14,9 @@ from tierline.sources.writers import append_partitions, grow_table, register_tab
 
 __all__ = [
     "append_partitions",
+    "envelope_errors",
     "grow_table",
+    "history_errors",
     "read_envelopes",
     "read_history_csv",
     "read_reference",

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from tierline.functions import clean_region
 from tierline.plans.contracts import (
     CATEGORY_DOCUMENT,
+    CORRUPT,
     ENVELOPE,
     HISTORY,
     LANDED_AT,
@@ -19,7 +20,7 @@ from tierline.plans.contracts import (
     SOURCE_FILE,
 )
 
-CORRUPT = "_corrupt_record"
+WRITTEN_AT = "_written_at"
 
 
 def with_origin(envelopes: DataFrame) -> DataFrame:
@@ -33,36 +34,60 @@ def with_origin(envelopes: DataFrame) -> DataFrame:
 
 
 def envelope_schema() -> T.StructType:
-    return T.StructType([*ENVELOPE.fields, *LANDING_PARTITIONS.fields])
+    return T.StructType([*ENVELOPE.fields, T.StructField(CORRUPT, T.StringType()), *LANDING_PARTITIONS.fields])
+
+
+def envelope_options(one_per_file: bool) -> dict[str, object]:
+    """``one_per_file`` reads pretty-printed responses, one document a file; else one envelope a line, which splits."""
+    return {"multiLine": one_per_file, "columnNameOfCorruptRecord": CORRUPT}
 
 
 def read_envelopes(spark: SparkSession, root: str, one_per_file: bool = False) -> DataFrame:
     """Raw API responses below ``root``, partitioned by region, date and hour.
 
-    ``land`` writes one envelope per line, which Spark can split. Set
-    ``one_per_file`` for pretty-printed responses, one document per file.
+    ``land`` writes one envelope per line. Set ``one_per_file`` for responses as the API delivers them, indented. What
+    is not JSON stays as a row with its text in ``_corrupt_record``; see ``envelope_errors``.
     """
-    reader = spark.read.schema(envelope_schema()).option("multiLine", one_per_file)
+    reader = spark.read.schema(envelope_schema()).options(**envelope_options(one_per_file))
     return with_origin(reader.json(root))
 
 
+def envelope_errors(envelopes: DataFrame) -> DataFrame:
+    """One row per envelope that can't be used, with its file, the reason and its text as far as it was kept."""
+    reason = F.when(F.col(CORRUPT).isNotNull(), "not valid JSON").when(F.col("items").isNull(), "no items")
+    return envelopes.select(SOURCE_FILE, reason.alias("error"), F.col(CORRUPT).alias("text")).where("error is not null")
+
+
 def read_history_csv(spark: SparkSession, root: str, multi_line: bool = True) -> DataFrame:
     """Historical snapshots; all values are text, the region comes from the path.
 
-    Descriptions may hold line breaks, hence ``multi_line``; it keeps a file in
-    one task, so switch it off where the files are known to be free of them.
+    Columns are bound by the header of the first file; a file whose header has another order is an error, not a row
+    of exchanged values. A row that doesn't fit stays with its text in ``_corrupt_record``; see ``history_errors``.
+    The file and the time it was last written are the row's origin.
+
+    Descriptions may hold line breaks, hence ``multi_line``; it keeps a file in one task, so switch it off where the
+    files are known to be free of them.
     """
-    schema = T.StructType([*HISTORY.fields, T.StructField("region", T.StringType())])
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-        .csv(root)
+    layout = {"header": True, "quote": '"', "escape": '"', "multiLine": multi_line}
+    known = {f.name.lower(): f.name for f in HISTORY.fields}
+    header = [c for c in spark.read.options(**layout).csv(root).columns if c.lower() != "region"]
+    names = [known.get(c.strip().lower(), c) for c in header]
+    fields = [T.StructField(n, T.StringType()) for n in (*names, CORRUPT, "region")]
+    rows = spark.read.schema(T.StructType(fields)).options(
+        **layout, enforceSchema=False, columnNameOfCorruptRecord=CORRUPT
+    )
+    return rows.csv(root).withColumns(
+        {LANDED_AT: F.col("_metadata.file_modification_time"), SOURCE_FILE: F.col("_metadata.file_path")}
     )
 
 
+def history_errors(rows: DataFrame) -> DataFrame:
+    """One row per history row that doesn't fit the header, with its file, text and first cell."""
+    broken = rows.where(F.col(CORRUPT).isNotNull())
+    reason = F.lit("row does not fit the header").alias("error")
+    return broken.select(SOURCE_FILE, reason, F.col(CORRUPT).alias("text"), HISTORY.fields[0].name)
+
+
 def read_reference(spark: SparkSession, root: str, one_per_file: bool = True) -> DataFrame:
     """Category documents with their file path and partition values.
 
@@ -81,7 +106,9 @@ def read_reference(spark: SparkSession, root: str, one_per_file: bool = True) ->
         .option("multiLine", one_per_file)
         .option("columnNameOfCorruptRecord", CORRUPT)
         .json(root)
-        .withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
+        .withColumns(
+            {SOURCE_FILE: F.col("_metadata.file_path"), WRITTEN_AT: F.col("_metadata.file_modification_time")}
+        )
     )
 
 

@@ -1,5 +1,5 @@
 """Incremental intake."""
 
-from tierline.streaming.intake import SILVER_PARTITIONS, merge_snapshots, run_increment
+from tierline.streaming.intake import SILVER_PARTITIONS, merge_snapshots, run_increment, take_in
 
-__all__ = ["SILVER_PARTITIONS", "merge_snapshots", "run_increment"]
+__all__ = ["SILVER_PARTITIONS", "merge_snapshots", "run_increment", "take_in"]

@@ -1,114 +1,189 @@
 """Only new landing files are read; their rows are merged into the Silver table.
 
-State lives in the table, not in the stream: a late copy of a snapshot meets the
-stored one in its own region-day partition and the newest survives.
+State lives in the table, not in the stream: a late copy of a snapshot meets the stored one in its own region-day
+partition and the newest survives.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
+from collections.abc import Callable
 from datetime import datetime
 
-from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tierline.operators.cleanse import dedup_latest
-from tierline.plans.silver import silver_statistics
+from tierline.plans.silver import SilverCount
 from tierline.session import fresh_path
-from tierline.sources.readers import envelope_schema, with_origin
+from tierline.sources.readers import envelope_errors, envelope_options, envelope_schema, with_origin
 from tierline.sources.writers import replace_partitions
 
 SILVER_PARTITIONS = ("region", "trending_date_parsed")
-# up to this many touched partitions are named in the scan, so the others are not even listed
-NAMED_PARTITIONS = 1000
+#: A folder below a table, unseen by readers, with the union of all schemas that were merged into it.
+SCHEMA_NOTE = "_schema"
 
 
-def _stored(spark: SparkSession, path: str, like: DataFrame) -> DataFrame | None:
+def _exists(read: Callable[[], DataFrame]) -> DataFrame | None:
     try:
-        return spark.read.schema(like.schema).parquet(path)
+        return read()
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
 
 
-def _in_partitions(stored: DataFrame, batch: DataFrame) -> DataFrame:
-    """The stored rows of the partitions that occur in ``batch``."""
-    region, day = SILVER_PARTITIONS
-    touched = batch.select(
-        F.col(region).alias("_region"), F.col(day).alias("_day")
-    ).distinct()
-    named = touched.limit(NAMED_PARTITIONS + 1).collect()
-    if len(named) <= NAMED_PARTITIONS:
-        regions = {r._region for r in named}
-        days = {r._day for r in named}
-        stored = stored.where(_one_of(region, regions) & _one_of(day, days))
-    matches = F.col(region).eqNullSafe(F.col("_region")) & F.col(day).eqNullSafe(F.col("_day"))
-    return stored.join(touched, matches, "left_semi")
-
-
-def _one_of(column: str, values: set):
-    listed = F.col(column).isin([v for v in values if v is not None])
-    return listed | F.col(column).isNull() if None in values else listed
-
-
-def merge_snapshots(batch: DataFrame, path: str, staged: str | None = None) -> None:
-    """Merges clean rows into the table at ``path``, replacing only the partitions they touch.
-
-    The merged partitions are written to ``staged`` first, because a partition
-    cannot be overwritten while it is read. With a path that belongs to this
-    batch, a run that died while replacing partitions is repaired by repeating
-    the batch: the finished merge is applied again instead of being rebuilt
-    from a half-replaced table.
+def _joined(one: T.StructType, other: T.StructType) -> T.StructType:
+    known = set(one.names)
+    return T.StructType([*one.fields, *[f for f in other.fields if f.name not in known]])
+
+
+def stored_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    """All columns of the table at ``path``: as noted by the last merge, else from the footers of its files."""
+    note = _exists(lambda: spark.read.text(f"{path}/{SCHEMA_NOTE}"))
+    if note is not None:
+        return T.StructType.fromJson(json.loads(note.first().value))
+    table = _exists(lambda: spark.read.option("mergeSchema", True).parquet(path))
+    return None if table is None else table.schema
+
+
+def note_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """Remembers the columns of the table at ``path`` for later merges."""
+    spark.createDataFrame([(schema.json(),)], "value string").write.mode("overwrite").text(f"{path}/{SCHEMA_NOTE}")
+
+
+def in_partitions(stored: DataFrame, touched: DataFrame) -> DataFrame:
+    """The stored rows of the ``touched`` region-days.
+
+    All touched days and all touched regions are written into the scan's partition filter, however many there are:
+    both sets are bounded by the calendar and by the codes in use, not by rows. That leaves some pairs too many, which
+    the semi join takes out. The table's files are still listed; files of other days are not opened.
     """
-    spark = batch.sparkSession
-    staged = staged or fresh_path(spark, "merged")
-    finished = f"{staged}-finished"
-    if _stored(spark, finished, spark.range(1)) is None:
-        stored = _stored(spark, path, batch)
-        if stored is None:
-            replace_partitions(batch, path, SILVER_PARTITIONS)
-            return
-        # two readers: the list of touched partitions and the merge
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            merged = dedup_latest(batch.unionByName(_in_partitions(stored, batch)))
-            merged.write.mode("overwrite").parquet(staged)
-        finally:
-            batch.unpersist()
-        spark.range(1).write.mode("overwrite").parquet(finished)
-    replace_partitions(spark.read.schema(batch.schema).parquet(staged), path, SILVER_PARTITIONS)
+    region, day = SILVER_PARTITIONS
+    named = touched.agg(
+        F.collect_set(region).alias("regions"), F.collect_set(day).alias("days"),
+        F.bool_or(F.col(region).isNull()).alias("no_region"), F.bool_or(F.col(day).isNull()).alias("no_day"),
+    ).first()
+    stored = stored.where(_one_of(region, named.regions, named.no_region) & _one_of(day, named.days, named.no_day))
+    wanted = touched.select(F.col(region).alias("_region"), F.col(day).alias("_day"))
+    return stored.join(
+        wanted, F.col(region).eqNullSafe(F.col("_region")) & F.col(day).eqNullSafe(F.col("_day")), "left_semi"
+    )
 
 
-def run_increment(
+def _one_of(column: str, values: list, with_null: bool | None):
+    listed = F.col(column).isin(sorted(values))
+    return listed | F.col(column).isNull() if with_null else listed
+
+
+def is_merged(spark: SparkSession, staging: str, key: int) -> bool:
+    """Is the merge of the batch ``key`` finished in ``staging``?"""
+    done = _exists(lambda: spark.read.schema("key bigint").parquet(f"{staging}/{key % 2}-finished"))
+    return done is not None and not done.where(F.col("key") == key).isEmpty()
+
+
+def merge_snapshots(batch: DataFrame, path: str, staging: str | None = None, key: int = 0) -> DataFrame:
+    """Merges clean rows into the table at ``path``, replacing only the partitions they touch; returns these.
+
+    The batch and its merge are written to ``staging`` first, as a partition can't be overwritten while it is read. With
+    the same ``staging`` and ``key``, a run that died while replacing partitions is repaired by repeating the batch: the
+    finished merge is applied again instead of being rebuilt from a half-replaced table. Staging keeps the last two
+    keys, in turn. Stored and new rows are read with the columns of both.
+    """
+    spark = batch.sparkSession
+    staging = staging or fresh_path(spark, "merged")
+    slot = f"{staging}/{key % 2}"
+    if not is_merged(spark, staging, key):
+        batch.write.mode("overwrite").parquet(f"{slot}-batch")
+        fresh = spark.read.schema(batch.schema).parquet(f"{slot}-batch")
+        fresh.select(*SILVER_PARTITIONS).distinct().write.mode("overwrite").parquet(f"{slot}-touched")
+        touched, known = spark.read.parquet(f"{slot}-touched"), stored_schema(spark, path)
+        schema = batch.schema if known is None else _joined(known, batch.schema)
+        if known is not None:
+            stored = in_partitions(spark.read.schema(schema).parquet(path), touched)
+            fresh = dedup_latest(stored.unionByName(fresh, allowMissingColumns=True))
+        fresh.write.mode("overwrite").parquet(f"{slot}-merged")
+        if known != schema:
+            note_schema(spark, path, schema)
+        spark.createDataFrame([(key,)], "key bigint").write.mode("overwrite").parquet(f"{slot}-finished")
+    schema = stored_schema(spark, path) or batch.schema
+    replace_partitions(spark.read.schema(schema).parquet(f"{slot}-merged"), path, SILVER_PARTITIONS)
+    return spark.read.parquet(f"{slot}-touched")
+
+
+def add_pending(touched: DataFrame, path: str, source: str) -> None:
+    """Notes region-days whose marts are out of date."""
+    touched.write.mode("overwrite").parquet(f"{path}/source={source}")
+
+
+def pending_partitions(spark: SparkSession, path: str) -> DataFrame | None:
+    """All region-days noted since they were last cleared; None when there are none."""
+    schema = "region string, trending_date_parsed date, source string"
+    noted = _exists(lambda: spark.read.schema(schema).parquet(path))
+    if noted is None or noted.isEmpty():
+        return None
+    return noted.select(*SILVER_PARTITIONS).distinct()
+
+
+def clear_pending(spark: SparkSession, path: str) -> None:
+    spark.createDataFrame([], "region string, trending_date_parsed date").write.mode("overwrite").parquet(path)
+
+
+def take_in(
     spark: SparkSession,
     landing_root: str,
     silver_path: str,
     checkpoint: str,
     as_of: datetime | None = None,
     files_per_batch: int | None = None,
-) -> int:
-    """Takes in what landed since the last run and returns the number of batches.
-
-    No new files, no batch and no write. ``files_per_batch`` bounds one batch
-    when a backlog is taken in.
+    one_per_file: bool = False,
+    touched_path: str | None = None,
+) -> list[dict[str, int]]:
+    """Takes in what landed since the last run and gives the counts of each batch. No new files, no batch, no write.
+
+    ``files_per_batch`` bounds a batch when a backlog is taken in. All that belongs to the stream lies below
+    ``checkpoint``: its progress, ``merged`` with the staging of the last two batches, ``errors`` with the unusable
+    envelopes of each batch. So a reset of the stream resets them too. The region-days that a batch touched are added
+    below ``touched_path`` before the batch counts as done; see ``pending_partitions``.
     """
-    reader = spark.readStream.schema(envelope_schema())
+    reader = spark.readStream.schema(envelope_schema()).options(**envelope_options(one_per_file))
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    batches: list[int] = []
-
-    def take_in(batch: DataFrame, batch_id: int) -> None:
-        merge_snapshots(silver_statistics(batch, as_of), silver_path, f"{checkpoint}-merged/{batch_id}")
-        batches.append(batch_id)
+    done: list[dict[str, int]] = []
+    run = uuid.uuid4().hex
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        envelope_errors(batch).write.mode("overwrite").parquet(f"{checkpoint}/errors/batch={batch_id}")
+        count = SilverCount(batch, as_of)
+        staging = f"{checkpoint}/merged"
+        repeated = is_merged(spark, staging, batch_id)  # then it is applied without being counted again
+        touched = merge_snapshots(count.silver, silver_path, staging, batch_id)
+        if touched_path is not None:
+            add_pending(touched, touched_path, f"{run}-{batch_id}")
+        done.append({} if repeated else count.counts())
 
     query = (
         with_origin(reader.json(landing_root))
-        .writeStream.foreachBatch(take_in)
+        .writeStream.foreachBatch(merge)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    return len(batches)
+    return done
+
+
+def run_increment(
+    spark: SparkSession,
+    landing_root: str,
+    silver_path: str,
+    checkpoint: str,
+    as_of: datetime | None = None,
+    files_per_batch: int | None = None,
+    one_per_file: bool = False,
+) -> int:
+    """``take_in``, for the number of batches alone."""
+    return len(take_in(spark, landing_root, silver_path, checkpoint, as_of, files_per_batch, one_per_file))
