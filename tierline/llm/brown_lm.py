@@ -105,6 +105,7 @@ def exchange(pairs: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS) ->
     The end, the last unit, is class 0 by itself. Units start in turn by frequency; sweeps go by frequency as well and
     stop when nothing moves.
     """
+
     def phi(x: np.ndarray) -> np.ndarray:
         return np.where(x > 0, x * np.log(np.maximum(x, 1)), 0.0)
 
@@ -128,7 +129,8 @@ def exchange(pairs: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS) ->
             between[home] -= to
             between[:, home] -= by
             between[home, home] -= loop
-            left, right, total_to, total_by = between.sum(1), between.sum(0), to.sum() + loop, by.sum() + loop
+            left, right = between.sum(1) + by, between.sum(0) + to
+            total_to, total_by = to.sum() + loop, by.sum() + loop
             row, column = phi(between + to) - phi(between), phi(between + by[:, None]) - phi(between)
             diagonal = np.diagonal(between)
             gain = row.sum(1) - np.diagonal(row) + column.sum(0) - np.diagonal(column)

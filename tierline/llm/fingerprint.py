@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierline.llm.common import slices, text_bytes, texts
-from tierline.llm.hashing import STEPS, WordHashes, mixed, run_sums, windows
+from tierline.llm.hashing import STEPS, mixed, run_sums, windows, word_hashes
 
 #: Uniform 64-bit lanes, and 16-bit lanes of signs.
 WIDE, SIGNS = 2, 128
@@ -36,9 +36,6 @@ _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
 _NUMBER = np.dtype([("wide", "<u8", WIDE), ("signs", "<u2", SIGNS)])
 
 
-_hashes = WordHashes()
-
-
 def fingerprints(texts: pa.Array) -> np.ndarray:
     """The fingerprint of each text, as records of ``wide`` and ``signs`` lanes; paragraphs are the lines of the text."""
     lines = pc.split_pattern(texts, "\n")
@@ -46,7 +43,7 @@ def fingerprints(texts: pa.Array) -> np.ndarray:
     paragraphs = lines.flatten()
     lists = pc.split_pattern(paragraphs, " ")
     per_line = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
-    hashes = _hashes.of(lists.flatten())
+    hashes = word_hashes(lists.flatten())
     ends = np.cumsum(per_line)
     begins = ends - per_line
     # a paragraph's key rolls over its words in order, with their places: equal keys for equal paragraphs
@@ -133,6 +130,8 @@ def fingerprint_pairs(docs: DataFrame) -> DataFrame:
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if not batch.num_rows:
+                continue
             ids = batch.column("doc_id")
             value = ids.fill_null(np.iinfo(np.int64).min).to_numpy(zero_copy_only=False)
             # range k has the ids up to begins[k] and above begins[k + 1]

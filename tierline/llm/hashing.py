@@ -27,25 +27,14 @@ def run_sums(values: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return out
 
 
-class WordHashes:
-    """Hashes of words; those met before are kept until there are too many."""
-
-    def __init__(self, limit: int = 500_000):
-        self.limit, self.known = limit, {}
-
-    def of(self, flat: pa.Array) -> np.ndarray:
-        if not len(flat):
-            return np.zeros(0, np.uint64)
-        encoded = flat.dictionary_encode()
-        distinct = encoded.dictionary.to_pylist()
-        if len(self.known) > self.limit:
-            self.known = {}
-        known = self.known
-        for w in distinct:
-            if w not in known:
-                known[w] = xxhash.xxh3_64_intdigest(w.encode())
-        table = np.fromiter((known[w] for w in distinct), np.uint64, len(distinct))
-        return mixed(table)[encoded.indices.to_numpy(zero_copy_only=False)]
+def word_hashes(flat: pa.Array) -> np.ndarray:
+    """A hash of each word; every distinct word is hashed once."""
+    if not len(flat):
+        return np.zeros(0, np.uint64)
+    encoded = flat.dictionary_encode()
+    distinct = encoded.dictionary
+    table = np.fromiter((xxhash.xxh3_64_intdigest(w.encode()) for w in distinct.to_pylist()), np.uint64, len(distinct))
+    return mixed(table)[encoded.indices.to_numpy(zero_copy_only=False)]
 
 
 def windows(hashes: np.ndarray, lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:

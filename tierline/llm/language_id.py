@@ -128,6 +128,8 @@ class Models:
             keys, values = self.grams[order - 1]
             able = place[open_at] >= order - 1
             wanted = hashes[order][open_at]
+            if not len(keys):  # no word is long enough for this order
+                continue
             found = np.searchsorted(keys, wanted)
             hit = able & (keys[np.minimum(found, len(keys) - 1)] == wanted)
             total[open_at[hit]] = acc[hit] + values[found[hit]]

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from tierline.llm.common import slices, texts, words
 from tierline.llm.components import components
 from tierline.llm.exact_dedup import keep_ids
-from tierline.llm.hashing import STEPS, WordHashes, mixed, run_sums, windows
+from tierline.llm.hashing import STEPS, mixed, run_sums, windows, word_hashes
 from tierline.session import materialise
 
 SHINGLE, PERCENT = 5, 75
@@ -35,11 +35,12 @@ BINS = BANDS * ROWS
 #: standard deviations below.
 LEAST_BINS = BINS // 2
 #: Members of a bucket in one block, shingles up to which a set is cut to 16 bits, and cells of a table in a comparison.
-BLOCK, SHORT_SET, CELLS = 256, 2000, 4_000_000
+BLOCK, SHORT_SET, CELLS = 256, 2000, 1_000_000
+#: Text bytes hashed at once; hashes of shingles take several times as much.
+SLICE = 1 << 20
 SET_KEY = ["set_a", "set_b", "n_shingles"]
 SIGNED_SCHEMA = "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, bands array<bigint>, bins binary"
 
-_hashes = WordHashes()
 _DRAWS = (mixed(np.arange(4096 * BINS, dtype=np.uint64) + np.uint64(1)) % np.uint64(BINS)).astype(np.int64).reshape(-1, BINS)
 _STARTS = np.arange(BINS, dtype=np.uint64) << np.uint64(64 - (BINS - 1).bit_length())
 
@@ -47,7 +48,7 @@ _STARTS = np.arange(BINS, dtype=np.uint64) << np.uint64(64 - (BINS - 1).bit_leng
 def shingle_sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The distinct shingle hashes of each text in ascending order, all in a row, and how many each text has."""
     flat, lengths = words(texts)
-    hashes, counts = windows(_hashes.of(flat), lengths, SHINGLE)
+    hashes, counts = windows(word_hashes(flat), lengths, SHINGLE)
     ends = np.cumsum(counts)
     sets = [np.unique(hashes[e - n : e]) for e, n in zip(ends, counts, strict=True)]
     return np.concatenate([np.zeros(0, np.uint64), *sets]), np.array([len(s) for s in sets], np.int64)
@@ -80,7 +81,7 @@ def signed(docs: DataFrame) -> DataFrame:
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers = np.arange(BANDS, dtype=np.uint64) * STEPS[4]
-        for batch in slices(batches):
+        for batch in slices(batches, limit=SLICE):
             flat, lengths = shingle_sets(batch.column("text"))
             ends = np.cumsum(lengths)
             made = [signature(flat[e - n : e]) if n else None for e, n in zip(ends, lengths, strict=True)]
@@ -114,7 +115,7 @@ def _node_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, limit=SLICE):
             flat, lengths = shingle_sets(batch.column("text"))
             a, b = set_keys(flat, lengths)
             same = (a == batch.column("set_a").to_numpy()) & (b == batch.column("set_b").to_numpy())
@@ -187,10 +188,11 @@ def common_at_most(short: list[bytes], sizes: np.ndarray, rows: np.ndarray) -> n
     keep = count[column] > 1
     owner, column = owner[keep], renumbered[column[keep]]
     out = np.zeros((len(rows), len(values)), np.float32)
-    step = max(1, CELLS // len(values))
+    columns = int(renumbered[-1]) + 1 if len(renumbered) else 0
+    step = max(1, min(columns, CELLS // len(values)))
     order = np.argsort(column, kind="stable")
     owner, column = owner[order], column[order]
-    for begin in range(0, int(renumbered[-1]) + 1 if len(renumbered) else 0, step):
+    for begin in range(0, columns, step):
         i, j = np.searchsorted(column, (begin, begin + step))
         held = np.zeros((len(values), step), np.float32)
         held[owner[i:j], column[i:j] - begin] = 1

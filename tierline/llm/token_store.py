@@ -90,7 +90,7 @@ class Codes:
 
     def tokens(self, begin: int = 0, end: int | None = None) -> np.ndarray:
         """Ids from ``begin`` up to ``end``."""
-        end = self.n if end is None else end
+        end = self.n if end is None else min(end, self.n)
         out, shift = np.zeros(max(0, end - begin), np.uint32), 0
         places = np.arange(len(out))
         for chunks, bits, ranks in self.levels:
