@@ -52,6 +52,8 @@ def keep_ids(docs: DataFrame, kept: DataFrame) -> DataFrame:
 
 
 def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
-    """``docs`` without the rows that have an equal text under a larger id."""
-    classes = text_classes(docs)
-    return keep_ids(docs, classes.select("keep_id"))
+    """``docs`` without the rows that have an equal text under a larger id; of a text without any id all rows stay."""
+    classes = text_classes(docs).select(F.col("sha").alias("kept__sha"), F.col("keep_id").alias("kept__id"))
+    keyed = docs.withColumn("text__sha", F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)))
+    same = (keyed["text__sha"] == classes["kept__sha"]) & keyed["doc_id"].eqNullSafe(classes["kept__id"])
+    return keyed.join(classes, same, "left_semi").drop("text__sha")

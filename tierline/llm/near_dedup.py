@@ -290,5 +290,8 @@ def _sets_of(docs: DataFrame, nodes: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """``docs`` with one row of each component left: the one with the smallest id."""
+    """``docs`` with one row of each component left: the one with the smallest id.
+
+    All rows without an id stay; where an id repeats, all its rows stay if one of them does.
+    """
     return keep_ids(docs, near_duplicates(docs).where("kept").select("doc_id"))
