@@ -30,7 +30,7 @@ SINGLES, FORMS = 1000, 256
 #: Bytes at a word's end that make its form.
 FORM_BYTES = 3
 CLASSES, SWEEPS = 64, 12
-#: Most frequent words whose counts go to the tasks; counts of all others are joined.
+#: At most so many of the most frequent words have their counts carried to the tasks; all others are joined.
 CARRIED = 50_000
 #: Added to each count of one class after another.
 TRANSITION = 0.5
@@ -164,6 +164,23 @@ class Model:
     end_count: int
 
 
+def _most_frequent(counts: DataFrame) -> list:
+    """The most frequent words, CARRIED at most, in descending order of their counts.
+
+    Sizes of count classes, a thousand at most, tell from which class on all words fit. So only these words come to the
+    driver, and not the most frequent of every task.
+    """
+    size = F.floor(F.log2("n") * 16)
+    fitting, lowest = 0, None
+    for r in sorted(counts.groupBy(size.alias("size")).agg(F.count(F.lit(1)).alias("words")).collect(), key=lambda r: -r["size"]):
+        fitting += r.words
+        if fitting > CARRIED:
+            break
+        lowest = r["size"]
+    taken = [] if lowest is None else counts.where(size >= lowest).collect()
+    return sorted(taken, key=lambda r: (-r.n, r.word))
+
+
 def learn(train: DataFrame) -> tuple[Model, DataFrame]:
     """The model of the texts in ``train``, and the counts of all their words as a table.
 
@@ -176,7 +193,7 @@ def learn(train: DataFrame) -> tuple[Model, DataFrame]:
         F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.count(F.lit(1)).alias("words"),
         F.coalesce(F.sum(F.when(F.col("word") == END, F.col("n"))), F.lit(0)).alias("ends"),
     ).first()
-    carried = counts.where(F.col("word") != END).orderBy(F.col("n").desc(), "word").limit(CARRIED).collect()
+    carried = _most_frequent(counts.where(F.col("word") != END))
     singles = [r.word for r in carried[:SINGLES]]
 
     def cluster(pairs: pd.DataFrame) -> pd.DataFrame:
