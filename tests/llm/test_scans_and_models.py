@@ -107,6 +107,24 @@ def test_class_probabilities_add_up():
     assert all(brown_lm.SINGLES <= u < brown_lm.END_UNIT for u in units.of(["c", "", "xyz", "日本"]))
 
 
+def test_words_beyond_the_most_frequent_are_clustered_by_themselves(spark):
+    rng = np.random.default_rng(5)
+    sides = [[f"{side}{k:04d}same" for k in range(1200)] for side in "pq"]  # all of one form
+
+    def text(pattern):
+        return " ".join(sides[side][rng.integers(1200)] for side in pattern * 20)
+
+    train = spark.createDataFrame([(i, text((0, 1))) for i in range(1500)], "doc_id bigint, text string").repartition(3)
+    model, counts = brown_lm.learn(train)
+    assert len(model.hashes) == 2400
+    # only words that the clustering didn't start from
+    known = set(model.carried[: brown_lm.SINGLES])
+    sides = [[w for w in side if w not in known] * 1200 for side in sides]
+    tests = spark.createDataFrame([(i, text((0, 1) if i % 2 else (0, 0))) for i in range(20)], "doc_id bigint, text string")
+    per_token = {r.doc_id: r.score / r.n_tokens for r in brown_lm.score(tests, model, counts).collect()}
+    assert min(v for i, v in per_token.items() if i % 2) > max(v for i, v in per_token.items() if not i % 2) + 0.5
+
+
 def test_languages_of_held_out_texts(docs, rows, nothing):
     held = id_bucket(3) == 1
     found = identify(docs, learn(labelled(docs).where(~held)), held).collect()

@@ -1,9 +1,12 @@
 """Scores of texts by a class-based bigram model.
 
 A text is its words and one end. Words belong to classes, found by exchange clustering; a token's probability is that
-of its class after the class before it, times that of the word in its class. The most frequent words are clustered one
-by one. All others are clustered by form, as groups of words with equal last bytes, so every word, known or not, has a
-class. All counts are taken over the whole training corpus.
+of its class after the class before it, times that of the word in its class. Every word seen at least twice is
+clustered by itself, however many there are. The others are clustered by form, as groups of words with equal last
+bytes, so every word, known or not, has a class. All counts are taken over the whole training corpus.
+
+The clustering starts from one of the most frequent words and the groups, unit by unit on one machine. Then all words
+move, in parallel against the table of classes, each by how often it stands before and after every class.
 
 The probability of a word in its class is (count + 1) / (class tokens + class words + 1), so a known word's share
 follows its count and unknown words share what is left.
@@ -23,13 +26,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierline.llm.common import segment_sums, slices, texts, words
+from tierline.llm.hashing import word_hashes
 from tierline.session import materialise
 
-#: Words clustered one by one, and groups of the others by form: the clustering's size, whatever the corpus has.
+#: Words that the clustering starts from, and groups of the others by form.
 SINGLES, FORMS = 1000, 256
 #: Bytes at a word's end that make its form.
 FORM_BYTES = 3
 CLASSES, SWEEPS = 64, 12
+#: A word that is seen so often is clustered by itself.
+OWN_CLASS = 2
+#: Sweeps end when one adds less than this share to the likelihood.
+LEAST_GAIN = 5e-4
+#: Tokens counted at once in a task, and words whose neighbours are added up at once.
+STEP_TOKENS, BUCKET_WORDS = 1 << 21, 50_000
 #: At most so many of the most frequent words have their counts carried to the tasks; all others are joined.
 CARRIED = 50_000
 #: Added to each count of one class after another.
@@ -45,12 +55,12 @@ PART_SCHEMA = (
 
 
 def form_unit(word: str) -> int:
-    """The unit of a word that isn't clustered by itself."""
+    """The unit, at the start, of a word that the clustering doesn't start from."""
     return SINGLES + zlib.crc32(word.encode()[-FORM_BYTES:]) % FORMS
 
 
 class Units:
-    """Units of words, given the words that are clustered one by one."""
+    """Units of words at the start, given the words that the clustering starts from."""
 
     def __init__(self, singles: list[str]):
         self.singles = {w: i for i, w in enumerate(singles)}
@@ -60,6 +70,31 @@ class Units:
         return np.fromiter((known[w] if w in known else form_unit(w) for w in distinct), np.int64, len(distinct))
 
 
+class Vocabulary:
+    """Numbers of words: the place among the sorted 64-bit hashes of the words clustered, or after them the form's."""
+
+    def __init__(self, hashes: np.ndarray):
+        self.hashes = hashes
+        self.end = len(hashes) + FORMS
+
+    def of(self, distinct: pa.Array) -> np.ndarray:
+        wanted = word_hashes(distinct)
+        at = np.searchsorted(self.hashes, wanted)
+        hit = at < len(self.hashes)
+        hit[hit] = self.hashes[at[hit]] == wanted[hit]
+        rest = np.flatnonzero(~hit)
+        shift = len(self.hashes) - SINGLES
+        at[rest] = [shift + form_unit(w) for w in distinct.take(pa.array(rest)).to_pylist()]
+        return at
+
+    def tokens(self, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of all texts in a row, each text closed by its end, and the tokens of each."""
+        flat, lengths = words(text)
+        encoded = flat.dictionary_encode()
+        own = self.of(encoded.dictionary)[encoded.indices.to_numpy(zero_copy_only=False)]
+        return np.insert(own, np.cumsum(lengths), self.end), lengths + 1
+
+
 def word_counts(docs: DataFrame) -> DataFrame:
     """``word`` and ``n`` over all texts; the empty word is the end of a text. Combined in the tasks, then by word."""
 
@@ -150,12 +185,125 @@ def exchange(pairs: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS) ->
     return own
 
 
+def likelihood(between: np.ndarray) -> float:
+    """The log-likelihood of the class bigrams, up to what no clustering changes."""
+    parts = (between, between.sum(0), between.sum(1))
+    whole, to, by = (float((x * np.log(np.maximum(x, 1))).sum()) for x in parts)
+    return whole - to - by
+
+
+def best_classes(near: np.ndarray, home: np.ndarray, between: np.ndarray) -> np.ndarray:
+    """The class that explains a word's neighbours best, for each row of ``near``: how often each class comes after the
+    word, then how often each comes before it. A word moves for a gain only, and never to the end's class."""
+    smooth = between + TRANSITION
+    logs, to, by = np.log(smooth), near[:, :CLASSES], near[:, CLASSES:]
+    value = to @ logs.T + by @ logs
+    value -= to.sum(1)[:, None] * np.log(smooth.sum(1)) + by.sum(1)[:, None] * np.log(smooth.sum(0))
+    value[:, 0] = -np.inf
+    best = value.argmax(1)
+    rows = np.arange(len(near))
+    return np.where(value[rows, best] > value[rows, home] + 1e-9, best, home)
+
+
+def class_pairs(tokens: DataFrame, class_of: np.ndarray) -> np.ndarray:
+    """How often one class follows another."""
+    shared = tokens.sparkSession.sparkContext.broadcast(class_of)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pairs = np.zeros(CLASSES * CLASSES, np.int64)
+        for batch in batches:
+            own = shared.value[batch.column("tokens").flatten().to_numpy(zero_copy_only=False)].astype(np.int32)
+            if len(own):
+                pairs += np.bincount(own[:-1] * CLASSES + own[1:], minlength=len(pairs))
+                pairs[int(own[-1]) * CLASSES + own[0]] += 1
+        full = np.flatnonzero(pairs)
+        yield pa.record_batch([pa.array(full, pa.int32()), pa.array(pairs[full])], ["pair", "n"])
+
+    between = np.zeros(CLASSES * CLASSES)
+    for r in tokens.mapInArrow(count, "pair int, n bigint").groupBy("pair").agg(F.sum("n").alias("n")).collect():
+        between[r.pair] = r.n
+    shared.destroy()
+    return between.reshape(CLASSES, CLASSES)
+
+
+def moved(tokens: DataFrame, class_of: np.ndarray, between: np.ndarray, half: int) -> np.ndarray:
+    """The classes after every second number, odd or even as ``half`` says, went where its neighbours are best explained.
+
+    Neighbours that move at the same time could undo each other's gain, so half of them stand still. Tasks send counts
+    of (word, side, class); those of a bucket of words meet in one task as a table of BUCKET_WORDS rows at most.
+    """
+    spark = tokens.sparkSession
+    shared = spark.sparkContext.broadcast((class_of, between))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), len(class_of) // (2 * BUCKET_WORDS) + 1)
+    width = 2 * CLASSES
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ring = batch.column("tokens").flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            own = shared.value[0][ring].astype(np.int64)
+            after, before = np.roll(own, -1), np.roll(own, 1)
+            for i in range(0, len(ring), STEP_TOKENS):
+                part = ring[i : i + STEP_TOKENS]
+                at = np.flatnonzero(part % 2 == half)
+                rank = part[at] // 2
+                # the bucket is the highest digit, so sorted keys are in order of buckets
+                high = (rank % parts << 40) + rank // parts * width
+                keys, n = np.unique(np.concatenate([high + after[i + at], high + CLASSES + before[i + at]]), return_counts=True)
+                bucket, first = np.unique(keys >> 40, return_index=True)
+                limits = pa.array(np.append(first, len(keys)), pa.int32())
+                low = pa.ListArray.from_arrays(limits, pa.array(keys & ((1 << 40) - 1)))
+                yield pa.record_batch([pa.array(bucket, pa.int32()), low.cast(pa.list_(pa.int32())), pa.ListArray.from_arrays(limits, pa.array(n, pa.int32()))], ["bucket", "at", "n"])
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, pairs = shared.value
+        now, near = -1, np.zeros(0)
+
+        def done() -> pa.RecordBatch:
+            number = 2 * (now + np.arange(len(near) // width) * parts) + half
+            best = best_classes(near.reshape(-1, width), own[number], pairs)
+            return pa.record_batch([pa.array([now], pa.int32()), pa.array([best.astype(np.uint8).tobytes()], pa.binary())], ["bucket", "own"])
+
+        for batch in batches:
+            lists, times = batch.column("at"), batch.column("n")
+            for i, bucket in enumerate(batch.column("bucket").to_pylist()):
+                if bucket != now:
+                    if now >= 0:
+                        yield done()
+                    now, near = bucket, np.zeros(len(range(2 * bucket + half, len(own), 2 * parts)) * width)
+                near[lists[i].values.to_numpy()] += times[i].values.to_numpy()
+        if now >= 0:
+            yield done()
+
+    sent = tokens.mapInArrow(send, "bucket int, at array<int>, n array<int>")
+    out = class_of.copy()
+    for r in sent.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(settle, "bucket int, own binary").collect():
+        out[2 * r.bucket + half :: 2 * parts] = np.frombuffer(r.own, np.uint8)
+    out[-1] = 0  # the end
+    shared.destroy()
+    return out
+
+
+def refine(tokens: DataFrame, class_of: np.ndarray, sweeps: int = SWEEPS) -> tuple[np.ndarray, np.ndarray]:
+    """The classes of all numbers, and their pairs, after parallel sweeps from ``class_of``; none lowers the likelihood."""
+    between = class_pairs(tokens, class_of)
+    for sweep in range(sweeps):
+        other = moved(tokens, class_of, between, sweep % 2)
+        pairs = class_pairs(tokens, other)
+        gain = likelihood(pairs) - likelihood(between)
+        if gain > 0:
+            class_of, between = other, pairs
+        if sweep % 2 and gain <= LEAST_GAIN * abs(likelihood(between)):
+            break
+    return class_of, between
+
+
 @dataclass
 class Model:
-    """What tasks need: counts of the words carried, classes of units, and log10 tables."""
+    """What tasks need: counts of the words carried, classes of all words clustered and of forms, and log10 tables."""
 
     carried: list[str]
     counts: np.ndarray
+    hashes: np.ndarray
     class_of: np.ndarray
     transition: np.ndarray
     class_size: np.ndarray
@@ -184,7 +332,7 @@ def _most_frequent(counts: DataFrame) -> list:
 def learn(train: DataFrame) -> tuple[Model, DataFrame]:
     """The model of the texts in ``train``, and the counts of all their words as a table.
 
-    The driver sees the words carried and two tables of the clustering's size. An empty ``train`` gives a model in
+    The driver sees the words carried, hash and class of all words clustered and tables of the classes. An empty ``train`` gives a model in
     which all words are unknown.
     """
     train = texts(train)
@@ -199,34 +347,53 @@ def learn(train: DataFrame) -> tuple[Model, DataFrame]:
     def cluster(pairs: pd.DataFrame) -> pd.DataFrame:
         table = np.zeros((UNITS, UNITS))
         table.ravel()[pairs["pair"]] = pairs["n"]
-        own = exchange(table)
-        member = np.zeros((UNITS, CLASSES))
-        member[np.arange(UNITS), own] = 1
-        between = member.T @ table @ member
-        return pd.DataFrame({"own": [own], "between": [between.ravel()]})
-
-    def unit_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units, n = Units(singles), np.zeros(UNITS, np.int64)
+        return pd.DataFrame({"own": [exchange(table)]})
+
+    clustered = unit_pairs(train, singles).groupBy().applyInPandas(cluster, "own array<bigint>").collect()
+    start = np.array(clustered[0].own) if clustered else np.ones(UNITS, np.int64)
+
+    def starts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        units = Units(singles)
         for batch in batches:
-            n += np.bincount(units.of(batch.column("word").to_pylist()), minlength=UNITS)
-        yield pa.record_batch([pa.array(np.arange(UNITS, dtype=np.int32)), pa.array(n)], ["unit", "n"])
-
-    clustered = unit_pairs(train, singles).groupBy().applyInPandas(cluster, "own array<bigint>, between array<double>").collect()
-    words_of = counts.where(F.col("word") != END).select("word").mapInArrow(unit_words, "unit int, n bigint").groupBy("unit").agg(F.sum("n").alias("n")).collect()
-    own = np.array(clustered[0].own) if clustered else np.ones(UNITS, np.int64)
-    own[END_UNIT] = 0
-    between = np.array(clustered[0].between).reshape(CLASSES, CLASSES) if clustered else np.zeros((CLASSES, CLASSES))
-    per_unit = np.zeros(UNITS)
-    for r in words_of:
-        per_unit[r.unit] = r.n
-    per_unit[END_UNIT] = 1 if total.words else 0
+            word = batch.column("word")
+            own = start[units.of(word.to_pylist())].astype(np.int16)
+            yield pa.record_batch([pa.array(word_hashes(word).view(np.int64)), pa.array(own)], ["hash", "own"])
+
+    def form_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(FORMS, np.int64)
+        for batch in batches:
+            n += np.bincount([form_unit(w) - SINGLES for w in batch.column("word").to_pylist()], minlength=FORMS)
+        yield pa.record_batch([pa.array(np.arange(FORMS, dtype=np.int32)), pa.array(n)], ["form", "n"])
+
+    # 10 bytes of each word clustered come to the driver, and 9 go to the tasks
+    found = counts.where((F.col("word") != END) & (F.col("n") >= OWN_CLASS)).select("word").mapInArrow(starts, "hash bigint, own smallint").toArrow()
+    hashes, first = np.unique(found["hash"].to_numpy().view(np.uint64), return_index=True)
+    own = np.concatenate([found["own"].to_numpy()[first], start[SINGLES:END_UNIT], [0]]).astype(np.uint8)
+    per_number = np.ones(len(own))
+    per_number[len(hashes) :] = 0
+    for r in counts.where((F.col("word") != END) & (F.col("n") < OWN_CLASS)).select("word").mapInArrow(form_words, "form int, n bigint").groupBy("form").agg(F.sum("n").alias("n")).collect():
+        per_number[len(hashes) + r.form] = r.n
+    per_number[-1] = 1 if total.words else 0
+
+    shared = train.sparkSession.sparkContext.broadcast(hashes)
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = Vocabulary(shared.value)
+        for batch in slices(batches):
+            numbers, lengths = vocabulary.tokens(batch.column("text"))
+            offsets = pa.array(np.append(0, np.cumsum(lengths)), pa.int32())
+            yield pa.record_batch([pa.ListArray.from_arrays(offsets, pa.array(numbers, pa.int32()))], ["tokens"])
+
+    tokens = materialise(train.select("text").mapInArrow(number, "tokens array<int>"), "word-numbers")
+    own, between = refine(tokens, own)
     smooth = between + TRANSITION
     return Model(
         [r.word for r in carried],
         np.array([r.n for r in carried], np.int64),
+        hashes,
         own,
         np.log10(smooth / smooth.sum(1, keepdims=True)),
-        np.log10(between.sum(0) + np.bincount(own, per_unit, CLASSES) + 1),
+        np.log10(between.sum(0) + np.bincount(own, per_number, CLASSES) + 1),
         total.tokens,
         total.words,
         total.ends,
@@ -240,12 +407,12 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, held_out: Column | N
     list the rare words of each text, which meet their counts in one join by word; no rare word is frequent enough to
     weigh on a task. Rows get a number when the parts are written, so repeated or null ids do no harm.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # CARRIED words and the clustering's tables at most
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # CARRIED words and 9 bytes of each word clustered
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         place = {w: i for i, w in enumerate(m.carried)}
-        units = Units(m.carried[:SINGLES])
+        vocabulary = Vocabulary(m.hashes)
         for batch in slices(batches):
             flat, lengths = words(batch.column("text"))
             encoded = flat.dictionary_encode()
@@ -254,7 +421,7 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, held_out: Column | N
             n = np.where(at >= 0, m.counts[at] if len(m.counts) else 0, 0)
             logs = segment_sums(np.log10(n + 1.0)[codes], lengths)
             known = segment_sums((n > 0)[codes].astype(np.int64), lengths)
-            own = m.class_of[np.insert(units.of(distinct)[codes], np.cumsum(lengths), END_UNIT)]
+            own = m.class_of[np.insert(vocabulary.of(encoded.dictionary)[codes], np.cumsum(lengths), vocabulary.end)]
             before = np.concatenate([own[-1:], own[:-1]])
             class_part = segment_sums(m.transition[before, own] - m.class_size[own], lengths + 1)
             rare, times, sizes = _rare(codes, at < 0, lengths)
