@@ -11,12 +11,13 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tierline.llm import brown_lm
 from tierline.llm.common import id_bucket
 from tierline.llm.credential_scan import SCOPE, find_secrets, redact
 from tierline.llm.fingerprint import combine, fingerprint_pairs, fingerprints, likeness
-from tierline.llm.language_id import identify, keep_identified, labelled, learn
+from tierline.llm.language_id import identify, keep_identified, labelled, learn, text_limit
 
 ASSIGN = re.compile(r"""(?ai:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS, HEX = re.compile("AKIA[A-Z0-9]+"), re.compile("[0-9a-f]+")
@@ -139,6 +140,23 @@ def test_languages_of_held_out_texts(docs, rows, nothing):
     assert {r.lang_pred for r in identify(docs, None).collect()} == {"und"}
 
 
+@pytest.mark.parametrize("left_out", ["de", "en", "es", "fr"])
+def test_texts_of_a_language_that_was_not_learned_go(docs, left_out):
+    seen = docs.where("doc_id < 1000")
+    held = id_bucket(3) == 1
+    found = identify(seen, learn(labelled(seen).where(~held & (F.col("lang") != left_out))), held).join(seen.select("doc_id", "lang"), "doc_id").collect()
+    foreign = [r.rejected for r in found if r.lang == left_out]
+    own = [r.rejected for r in found if r.lang != left_out and r.held_out]
+    assert sum(foreign) >= 0.9 * len(foreign) > 0 and sum(own) <= 0.02 * len(own)
+
+
+def test_one_odd_text_does_not_set_the_limit():
+    means, spreads, n = np.full(40, 2.0), np.ones(40), np.full(40, 900)
+    odd = means.copy()
+    odd[7] = 9.0
+    assert text_limit(odd, spreads, n) == text_limit(means, spreads, n) == (3.0, 1.0)
+
+
 def test_rejected_rows_go_and_columns_stay(spark, docs, rows):
     models = learn(labelled(docs))
     junk = spark.createDataFrame([(5000, "qzxj vkwq xxqz jjkq zqxv wqjx " * 30)], "doc_id bigint, text string")

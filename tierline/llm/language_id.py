@@ -31,8 +31,11 @@ UNDETERMINED = "und"
 SAMPLE_TEXTS, SAMPLE_CHARS, CALIBRATION = 1500, 4_000_000, 5
 #: A label set larger than this is taken for an error: all models are held in memory together.
 MOST_LANGUAGES = 400
-#: Bits above the likeliest limit that a text may still need, and the letters at which short texts get twice the room.
-SLACK_BITS, SHORT = 2.5, 64
+#: Share of the kept-out texts of a language that its limit covers, the room above its usual bits that it has at least
+#: (as a share of these), and the deviations of the mean of a text's letters that a short text may need more.
+COVERED, LEAST_ROOM, DEVIATIONS = 0.99, 0.5, 4
+#: Bits above the highest of its learned texts that a language gets that has no kept-out texts.
+SLACK_BITS = 2.5
 #: At most so many letters count as evidence in the score, which keeps it apart from 1 for texts that are unclear.
 EVIDENCE = 40
 PREDICTION_SCHEMA = "doc_id bigint, held_out boolean, lang_pred string, score double, bits double, rejected boolean"
@@ -106,13 +109,13 @@ def fit(counts: dict[str, int]) -> Fitted:
 
 @dataclass
 class Models:
-    """All languages in common sorted arrays, and each language's usual and highest bits a letter."""
+    """All languages in common sorted arrays, and each language's limit of bits a letter for long texts and their spread."""
 
     languages: list[str]
     grams: list[tuple[np.ndarray, np.ndarray]]
     contexts: list[tuple[np.ndarray, np.ndarray]]
-    usual: np.ndarray
-    highest: np.ndarray
+    limit: np.ndarray
+    spread: np.ndarray
 
     def bits(self, kept: list[str]) -> np.ndarray:
         """Minus log2 of the probability of each word in each language."""
@@ -144,7 +147,7 @@ class Models:
         return out
 
 
-def join_models(fitted: dict[str, Fitted], usual: dict[str, float], highest: dict[str, float]) -> Models:
+def join_models(fitted: dict[str, Fitted], limit: dict[str, float], spread: dict[str, float]) -> Models:
     """Common arrays: a probability that a language lacks is its back-off weight times that of the shorter n-gram."""
     languages, grams, contexts = sorted(fitted), [], []
     for order in range(1, ORDER + 1):
@@ -166,7 +169,18 @@ def join_models(fitted: dict[str, Fitted], usual: dict[str, float], highest: dic
         for column, p in enumerate(parts):
             values[np.searchsorted(sorted_keys, p[0]), column] = -np.log2(p[3])
         grams.append((sorted_keys, values.astype(np.float32)))
-    return Models(languages, grams, contexts, np.array([usual[x] for x in languages]), np.array([highest[x] for x in languages]))
+    return Models(languages, grams, contexts, np.array([limit[x] for x in languages]), np.array([spread[x] for x in languages]))
+
+
+def text_limit(means: np.ndarray, spreads: np.ndarray, n: np.ndarray) -> tuple[float, float]:
+    """The limit of bits a letter for long texts, and the spread of one letter; a text of n letters gets DEVIATIONS
+    times the spread over the root of n more. From kept-out texts: bits a letter, spread and letters of each.
+
+    The limit is a quantile taken from below, so the few oddest texts, or a single one, don't set it.
+    """
+    usual, spread = float(np.median(means)), float(np.median(spreads))
+    above = np.quantile(means - usual - DEVIATIONS * spread / np.sqrt(n), COVERED, method="lower")
+    return usual + max(float(above), LEAST_ROOM * usual), spread
 
 
 def _words_of(text: str) -> list[str]:
@@ -206,11 +220,23 @@ def learn(labelled: DataFrame) -> Models | None:
         fitted = fit(counts)
         lang = texts_of["lang"].iloc[0]
         alone = join_models({lang: fitted}, {lang: 0.0}, {lang: 0.0})
-        means = []
-        for text in ordered["text"][calibrating] if calibrating.any() else ordered["text"]:
-            if kept := _words_of(text):
-                means.append(alone.bits(kept).sum() / sum(len(w) + 1 for w in kept))
-        rows = [("limits", np.zeros(0, np.int64), np.array([np.median(means or [0.0]), max(means or [0.0])]))]
+
+        def judged(chosen: pd.Series) -> np.ndarray:
+            """Bits a letter, spread and letters of each text that has any."""
+            found = []
+            for kept in filter(None, map(_words_of, chosen)):
+                n, bits = np.array([len(w) + 1 for w in kept]), alone.bits(kept)[:, 0]
+                mean = bits.sum() / n.sum()
+                found.append((mean, np.sqrt(((bits - mean * n) ** 2).sum() / n.sum()), n.sum()))
+            return np.array(found).reshape(-1, 3).T
+
+        kept_out = judged(ordered["text"][calibrating])
+        if kept_out.size:
+            limit, spread = text_limit(*kept_out)
+        else:
+            means, spreads, _ = judged(ordered["text"])
+            limit, spread = means.max() + SLACK_BITS, np.median(spreads)
+        rows = [("limits", np.zeros(0, np.int64), np.array([limit, spread]))]
         for order in range(ORDER):
             grams, context, suffix, p = fitted.grams[order]
             rows.append((f"g{order}", np.concatenate([grams, context, suffix]).view(np.int64), p))
@@ -219,19 +245,19 @@ def learn(labelled: DataFrame) -> Models | None:
         return pd.DataFrame({"lang": lang, "kind": [r[0] for r in rows], "ints": [r[1] for r in rows], "reals": [r[2] for r in rows]})
 
     schema = "lang string, kind string, ints array<bigint>, reals array<double>"
-    fitted, usual, highest = {}, {}, {}
+    fitted, limit, spread = {}, {}, {}
     for r in sample(labelled).groupBy("lang").applyInPandas(train, schema).collect():
         own = fitted.setdefault(r.lang, Fitted([None] * ORDER, [None] * ORDER))
         ints, reals = np.array(r.ints, np.int64).view(np.uint64), np.array(r.reals)
         if r.kind == "limits":
-            usual[r.lang], highest[r.lang] = reals
+            limit[r.lang], spread[r.lang] = reals
         elif r.kind[0] == "g":
             own.grams[int(r.kind[1:])] = (*np.split(ints, 3), reals)
         else:
             own.contexts[int(r.kind[1:])] = ints, reals
     if len(fitted) > MOST_LANGUAGES:
         raise ValueError(f"{len(fitted)} languages; at most {MOST_LANGUAGES} models are held together")
-    return join_models(fitted, usual, highest) if fitted else None
+    return join_models(fitted, limit, spread) if fitted else None
 
 
 class Judge:
@@ -261,8 +287,8 @@ class Judge:
         least = bits[np.arange(len(bits)), best]
         score = 1 / np.exp2(-(bits - least[:, None]) * np.minimum(n, EVIDENCE)[:, None]).sum(1)
         m = self.models
-        room = (m.highest[best] + SLACK_BITS - m.usual[best]) * (1 + np.sqrt(SHORT / np.maximum(n, 1)))
-        return n, best, np.where(n > 0, score, 0.0), least, (n == 0) | (least > m.usual[best] + room)
+        limit = m.limit[best] + DEVIATIONS * m.spread[best] / np.sqrt(np.maximum(n, 1))
+        return n, best, np.where(n > 0, score, 0.0), least, (n == 0) | (least > limit)
 
 
 _judges: dict[str, Judge] = {}
