@@ -176,6 +176,12 @@ def test_fingerprints_add_up_in_any_order():
     assert same == 1 and 0.3 < some < 0.7 and none < 0.3
 
 
+def test_likeness_of_a_line_repeated_very_often():
+    line = "aa bb cc\n"
+    whole, half = fingerprints(pa.array([line * 40_000, line * 20_000 + "some other words at the end"]))
+    assert float(likeness(whole[None], half[None])[0]) > 0.999
+
+
 def test_neighbours_in_descending_order(spark, docs, rows, nothing, monkeypatch):
     from tierline.llm import fingerprint
 

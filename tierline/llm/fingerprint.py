@@ -3,9 +3,9 @@
 A paragraph hashes to a vector; a document's fingerprint is the sum of its paragraphs' vectors, each lane modulo a
 power of two. Order doesn't matter, and paragraphs can be added and taken away without reading the rest.
 
-The first lanes are uniform (modulo 2^64): they decide equality. The other lanes (modulo 2^16) are sums of +1 and -1
-hashed from the paragraph's word triples, so they add up the same way and the angle between two documents' lanes
-estimates how much text they share.
+The first lanes are uniform (modulo 2^64): they decide equality. The other lanes (modulo 2^32, more than a text has
+triples) are sums of +1 and -1 hashed from the paragraph's word triples, so they add up the same way and the angle
+between two documents' lanes estimates how much text they share.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from tierline.llm.common import slices, text_bytes, texts
 from tierline.llm.hashing import STEPS, mixed, run_sums, windows, word_hashes
 
-#: Uniform 64-bit lanes, and 16-bit lanes of signs.
+#: Uniform 64-bit lanes, and 32-bit lanes of signs.
 WIDE, SIGNS = 2, 128
 #: Words in one feature of a paragraph; a shorter paragraph is one feature.
 TRIPLE = 3
@@ -33,7 +33,7 @@ PAIR_SCHEMA = (
     "near_edited double, near_next double"
 )
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
-_NUMBER = np.dtype([("wide", "<u8", WIDE), ("signs", "<u2", SIGNS)])
+_NUMBER = np.dtype([("wide", "<u8", WIDE), ("signs", "<u4", SIGNS)])
 
 
 def fingerprints(texts: pa.Array) -> np.ndarray:
@@ -74,7 +74,7 @@ def _signed_sums(features: np.ndarray, lengths: np.ndarray, step: int = 1 << 14)
         rows = np.arange(i, i + len(runs))
         keep = runs > 0
         out[rows[keep]] += 2 * run_sums(signs, runs[keep]).astype(np.int64) - runs[keep][:, None]
-    return out.astype(np.uint16)
+    return out.astype(np.uint32)
 
 
 def combine(a: np.ndarray, b: np.ndarray, sign: int = 1) -> np.ndarray:
@@ -87,7 +87,7 @@ def combine(a: np.ndarray, b: np.ndarray, sign: int = 1) -> np.ndarray:
 
 def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """1 for equal fingerprints, else the cosine of the sign lanes, not below 0."""
-    x, y = (f["signs"].astype(np.int16).astype(np.float64) for f in (a, b))
+    x, y = (f["signs"].astype(np.int32).astype(np.float64) for f in (a, b))
     size = np.sqrt((x * x).sum(1) * (y * y).sum(1))
     cosine = np.clip((x * y).sum(1) / np.where(size > 0, size, 1), 0, 1)
     return np.where(a == b, 1.0, cosine)
