@@ -5,7 +5,10 @@ import sys
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path[:0] = [os.path.dirname(HERE), HERE]
+
+from snapshot_rows import STATISTICS_DEFAULTS  # noqa: E402
 
 from tierline.session import build_session  # noqa: E402
 
@@ -34,27 +37,6 @@ def folder(spark):
     return lambda label: fresh_path(spark, f"test-{label}")
 
 
-STATISTICS_DEFAULTS = {
-    "video_id": "v1",
-    "trending_date": "20.31.01",
-    "title": "t",
-    "channel_title": "c",
-    "category_id": "1",
-    "publish_time": "2020-01-01",
-    "tags": "a|b",
-    "views": "100",
-    "likes": "10",
-    "dislikes": "1",
-    "comment_count": "4",
-    "thumbnail_link": "x",
-    "comments_disabled": "False",
-    "ratings_disabled": "False",
-    "video_error_or_removed": "False",
-    "description": "d",
-    "region": "US",
-}
-
-
 @pytest.fixture()
 def history(spark):
     """History rows from a few given values each; the rest takes defaults."""

@@ -3,8 +3,8 @@ from __future__ import annotations
 from datetime import date
 
 import pytest
-from conftest import STATISTICS_DEFAULTS
 from pyspark.sql import functions as F
+from snapshot_rows import STATISTICS_DEFAULTS
 
 from tierline.operators import shape
 from tierline.operators.landing import land, landing_gaps, stamp_provenance
