@@ -13,6 +13,7 @@ from tierline.llm.credential_scan import find_secrets
 from tierline.llm.exact_dedup import exact_duplicates
 from tierline.llm.fingerprint import fingerprint_pairs
 from tierline.llm.language_id import identify, labelled, learn
+from tierline.llm.merkle import audited, tampered_text
 from tierline.llm.near_dedup import near_duplicates
 from tierline.llm.packing import pack
 from tierline.llm.sentence_pieces import encode_pieces
@@ -71,11 +72,15 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents(spark, sf_dir), PIECES)
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audited(documents(spark, sf_dir), tampered_text())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_exact_dedup, op2_sentence_pieces, op3_token_store, op4_best_fit_packing, op5_class_lm, op6_near_dedup, op7_language_id,
-        op8_secret_scan, op9_fingerprints, op10_token_counts,
+        op8_secret_scan, op9_fingerprints, op10_token_counts, op11_merkle_manifest,
     )
 }
 
