@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -21,6 +22,11 @@ def texts(docs: DataFrame, *more: str) -> DataFrame:
     )
 
 
+def lower_ascii(text: Column) -> Column:
+    """A-Z in lower case, all other characters as they are."""
+    return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
+
+
 def id_bucket(buckets: int) -> Column:
     """crc32 of the id written as text, modulo ``buckets``; null ids count as empty text."""
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % buckets

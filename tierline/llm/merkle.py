@@ -18,7 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierline.llm.common import id_bucket
+from tierline.llm.common import id_bucket, lower_ascii
 from tierline.llm.ranks import ranked
 from tierline.session import fresh_path, materialise
 
@@ -210,8 +210,7 @@ def manifest(docs: DataFrame, claimed: Column | None = None) -> Manifest:
 
 def tampered_text() -> Column:
     """The text with A-Z lower-cased where 5 divides the crc32 of the id, else as it is; a null id counts as empty text."""
-    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return F.when(id_bucket(5) == 0, lower).otherwise(F.col("text"))
+    return F.when(id_bucket(5) == 0, lower_ascii(F.col("text"))).otherwise(F.col("text"))
 
 
 def audited(docs: DataFrame, claimed: Column | None = None) -> DataFrame:

@@ -19,6 +19,7 @@ from tierline.llm.packing import pack
 from tierline.llm.sentence_pieces import encode_pieces
 from tierline.llm.token_count import token_counts
 from tierline.llm.token_store import token_store
+from tierline.llm.url_filter import judge
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -76,11 +77,15 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audited(documents(spark, sf_dir), tampered_text())
 
 
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_exact_dedup, op2_sentence_pieces, op3_token_store, op4_best_fit_packing, op5_class_lm, op6_near_dedup, op7_language_id,
-        op8_secret_scan, op9_fingerprints, op10_token_counts, op11_merkle_manifest,
+        op8_secret_scan, op9_fingerprints, op10_token_counts, op11_merkle_manifest, op13_url_filter,
     )
 }
 
