@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tierline.llm import brown_lm
 from tierline.llm.common import id_bucket
+from tierline.llm.conversation_repair import damaged, repair
 from tierline.llm.credential_scan import find_secrets
 from tierline.llm.exact_dedup import exact_duplicates
 from tierline.llm.fingerprint import fingerprint_pairs
@@ -77,6 +78,11 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audited(documents(spark, sf_dir), tampered_text())
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return repair(conversations, damaged(conversations))
+
+
 def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
@@ -85,7 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_exact_dedup, op2_sentence_pieces, op3_token_store, op4_best_fit_packing, op5_class_lm, op6_near_dedup, op7_language_id,
-        op8_secret_scan, op9_fingerprints, op10_token_counts, op11_merkle_manifest, op13_url_filter,
+        op8_secret_scan, op9_fingerprints, op10_token_counts, op11_merkle_manifest, op12_conversation_repair, op13_url_filter,
     )
 }
 
