@@ -21,7 +21,7 @@ from tierline.llm.components import components
 from tierline.session import materialise
 
 ALLOW, BLOCK = "allow", "block"
-RULE_COLUMNS = "verdict string, host string, path string"
+RULE_COLUMNS = ("verdict", "host", "path")
 
 
 @dataclass(frozen=True)
@@ -41,7 +41,8 @@ RULES = (
 
 
 def rule_table(spark: SparkSession, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    return spark.createDataFrame([(r.verdict, r.host, r.path) for r in rules], RULE_COLUMNS)
+    told = [F.struct(*[F.lit(v).alias(c) for c, v in zip(RULE_COLUMNS, (r.verdict, r.host, r.path))]) for r in rules]
+    return spark.range(1).select(F.inline(F.array(*told)))
 
 
 def _after_scheme(url: Column) -> Column:
@@ -143,7 +144,7 @@ def judge(pages: DataFrame, rules: DataFrame | None = None, redirects: DataFrame
     url = F.col("url")
     rules = rule_table(pages.sparkSession) if rules is None else rules
     if redirects is None:
-        redirects = pages.sparkSession.createDataFrame([], "from_url string, to_url string")
+        redirects = pages.select(F.col("url").alias("from_url"), F.col("url").alias("to_url")).where(F.lit(False))
     targets = F.transform(link_targets(F.coalesce("html", F.lit(""))), lambda t: resolved(t, url))
     seen = materialise(
         pages.select(
