@@ -15,6 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tierline.llm.arrays import let, piece, running, text_blocks
 from tierline.llm.common import texts
 from tierline.session import materialise
 
@@ -25,7 +26,10 @@ SCOPE = 400
 
 @dataclass(frozen=True)
 class Kind:
-    """A pattern with the role of what it finds. ``least`` is the shortest ``group`` of a match that counts."""
+    """A pattern with the role of what it finds. A match counts when its ``group`` has ``least`` characters and holds all of ``also``.
+
+    No pattern repeats a group but possessively: the matcher keeps a frame of its stack for each turn it may go back to.
+    """
 
     name: str
     pattern: str
@@ -33,6 +37,7 @@ class Kind:
     group: int = 0
     least: int = 1
     weak: bool = False
+    also: tuple[str, ...] = ()
 
 
 #: The base kinds, in the order in which spans at the same place are listed.
@@ -44,9 +49,9 @@ BASE = (
 #: Parts that are reported only in company. A user name or key id, a long mixed token, an address of a service.
 WEAK = (
     Kind("login", r"""(?i:user(?:name)?|login|client_?id|access_?key_?id|account)["']?\x20*[:=]\x20*["']?([A-Za-z0-9@._-]{3,})""", ACCESS, 1, 3, True),
-    Kind("blob", r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]{0,60}[0-9])(?=[0-9a-z+/_-]{0,60}[A-Z])[A-Za-z0-9+/_-]{32,}={0,2}", SECRET, 0, 32, True),
+    Kind("blob", r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{32,}={0,2}", SECRET, 0, 32, True, ("[0-9]", "[A-Z]")),
     Kind("url", r"(?i:https?|ftp|s3|jdbc:[a-z]+|postgres(?:ql)?|mysql|redis|amqps?|mongodb(?:\+srv)?)://[A-Za-z0-9._~:@%/?&=+-]+", ENDPOINT, 0, 8, True),
-    Kind("host", r"""(?i:host(?:name)?|endpoint|server)["']?\x20*[:=]\x20*["']?([A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+(?::[0-9]+)?)""", ENDPOINT, 1, 4, True),
+    Kind("host", r"""(?i:host(?:name)?|endpoint|server)["']?\x20*[:=]\x20*["']?([A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)++(?::[0-9]+)?)""", ENDPOINT, 1, 4, True),
 )
 SPAN = "struct<start:int,rank:int,end:int,kind:string>"
 
@@ -57,27 +62,25 @@ def matches(text: Column, kind: Kind, rank: int) -> Column:
     gaps = F.transform(F.split(text, kind.pattern, -1), F.char_length)
     found = F.regexp_extract_all(text, pattern, F.lit(0))
     judged = found if kind.group == 0 else F.regexp_extract_all(text, pattern, F.lit(kind.group))
-    # gap and match lengths in turn; a running end for each match
-    sizes = F.zip_with(gaps, found, lambda gap, hit: F.struct(gap.alias("gap"), F.coalesce(F.char_length(hit), F.lit(0)).alias("hit")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("spans"))
-
-    def take(state: Column, size: Column) -> Column:
-        begin = state["at"] + size["gap"]
-        span = F.struct(
-            begin.alias("start"), F.lit(rank).alias("rank"), (begin + size["hit"]).alias("end"), F.lit(kind.name).alias("kind")
-        )
-        return F.struct(
-            (begin + size["hit"]).alias("at"),
-            F.when(size["hit"] > 0, F.array_append(state["spans"], span)).otherwise(state["spans"]).alias("spans"),
-        )
-
-    spans = F.aggregate(sizes, start, take, lambda state: state["spans"])
-    enough = F.filter(
-        F.zip_with(spans, judged, lambda span, part: F.struct(span.alias("span"), (F.char_length(part) >= kind.least).alias("ok"))),
-        lambda pair: pair["ok"],
-    )
-    none = F.array().cast(f"array<{SPAN}>")
-    return F.when(text.rlike(kind.pattern), F.transform(enough, lambda pair: pair["span"])).otherwise(none)
+
+    def judge(hit: Column, part: Column) -> Column:
+        counts = F.char_length(part) >= kind.least
+        for other in kind.also:
+            counts &= part.rlike(other)
+        return F.struct(F.char_length(hit).alias("size"), counts.alias("counts"))
+
+    # gap and match in turn; behind the last gap there is none
+    turns = F.zip_with(gaps, F.zip_with(found, judged, judge), lambda gap, hit: F.struct(gap.alias("gap"), hit.alias("hit")))
+
+    def place(at: Column, turn: Column) -> Column:
+        begin = at + turn["gap"]
+        end = begin + F.coalesce(turn["hit"]["size"], F.lit(0))
+        span = F.struct(begin.alias("start"), F.lit(rank).alias("rank"), end.alias("end"), F.lit(kind.name).alias("kind"))
+        return F.struct(end.alias("state"), F.struct(span.alias("span"), F.coalesce(turn["hit"]["counts"], F.lit(False)).alias("counts")).alias("out"))
+
+    placed = running(turns, F.lit(0), place, f"struct<span:{SPAN},counts:boolean>")
+    spans = F.transform(F.filter(placed, lambda p: p["counts"]), lambda p: p["span"])
+    return F.when(text.rlike(kind.pattern), spans).otherwise(F.array().cast(f"array<{SPAN}>"))
 
 
 def listed(spans: Column) -> Column:
@@ -176,21 +179,18 @@ def redact(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
 
     Overlapping spans are replaced once. Rows without spans, and all other columns, stay as they are.
     """
-    state = F.struct(F.lit(1).alias("at"), F.lit("").alias("done"))
+    text, spans = F.col("text"), F.col("secret__spans")
 
-    def cut(state: Column, span: Column) -> Column:
-        before = F.substring(F.col("text"), state["at"], span["start"] + 1 - state["at"])
-        fresh = span["start"] + 1 >= state["at"]
-        return F.struct(
-            F.greatest(state["at"], span["end"] + 1).alias("at"),
-            F.when(fresh, F.concat(state["done"], before, F.lit(mark))).otherwise(state["done"]).alias("done"),
-        )
+    def cut(blocks: Column) -> Column:
+        def step(at: Column, span: Column) -> Column:
+            before = F.concat(piece(blocks, at, span["start"] - at), F.lit(mark))
+            return F.struct(F.greatest(at, span["end"]).alias("state"), F.when(span["start"] >= at, before).otherwise("").alias("out"))
 
-    def rest(state: Column) -> Column:
-        return F.concat(state["done"], F.substring(F.col("text"), state["at"], F.char_length("text")))
+        last = F.array_max(F.transform(spans, lambda s: s["end"]))
+        return F.concat(F.array_join(running(spans, F.lit(0), step, "string"), ""), piece(blocks, last, F.char_length(text) - last))
 
     hit = F.col("secret__spans").isNotNull()
-    out = _with_spans(docs).withColumn("text", F.when(hit, F.aggregate("secret__spans", state, cut, rest)).otherwise(F.col("text")))
+    out = _with_spans(docs).withColumn("text", F.when(hit, let(text_blocks(text), cut)).otherwise(text))
     if "n_chars" in docs.columns:
         counted = F.char_length("text").cast(docs.schema["n_chars"].dataType)
         out = out.withColumn("n_chars", F.when(hit, counted).otherwise(F.col("n_chars")))
