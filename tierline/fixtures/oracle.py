@@ -657,6 +657,7 @@ sql(
     "select channel_title, region, total_videos, total_views, times_trending, "
     "array_to_string(categories, '|') as categories, rank_in_region from channels",
 )
+sql("channel_incremental", FLOW, "select * from channels")
 sql(
     "gold_incremental",
     f"{API_SILVER},{DOCUMENTS.lstrip()},\nenriched as (select * from silver)",

@@ -785,6 +785,16 @@ def gold_incremental(spark, sf_dir):
     return run.table("trending_analytics").drop("_aggregated_at")
 
 
+@query
+def channel_incremental(spark, sf_dir):
+    """The channel mart after three runs; videos change their channel, and the last run lands some payloads again."""
+    root, documents = fresh_path(spark, "three-runs"), _documents(spark, sf_dir)
+    for portion in ("l_linenumber <= 2", "l_linenumber between 3 and 4", "l_linenumber > 3"):
+        payloads = d.stamped(spark, sf_dir).where(portion).drop("l_linenumber")
+        run = run_flow(spark, payloads, documents, root, d.AS_OF)
+    return run.table("channel_analytics").drop("_aggregated_at")
+
+
 @query
 def gated_missing_table(spark, sf_dir):
     """All checks of a run, one of whose tables does not exist."""

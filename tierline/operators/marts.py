@@ -84,10 +84,11 @@ def channel_days(statistics: DataFrame) -> DataFrame:
     )
 
 
-def totals_from_days(days: DataFrame, statistics: DataFrame, lookup: DataFrame | None) -> DataFrame:
-    """The same as ``channel_totals`` from the stored days; of ``statistics`` only three columns are read.
+def totals_from_days(days: DataFrame, videos: DataFrame, lookup: DataFrame | None) -> DataFrame:
+    """The same as ``channel_totals`` from the stored days.
 
-    A video counts once however many days it has, and day sums don't know that.
+    A video counts once however many days it has, and day sums don't know that; so ``videos`` gives ``total_videos`` of
+    each channel and region.
     """
     key = ("channel_title", "region")
     sums = days.groupBy(*key).agg(
@@ -105,7 +106,6 @@ def totals_from_days(days: DataFrame, statistics: DataFrame, lookup: DataFrame |
     names = enrich_category(ids, lookup).groupBy(*key).agg(
         F.expr("array_sort(collect_list(distinct category_name))").alias("categories")
     )
-    videos = statistics.groupBy(*key).agg(F.countDistinct("video_id").alias("total_videos"))
     out = sums
     for other, name in ((names, "categories"), (videos, "total_videos")):
         other = other.select(*[F.col(k).alias(f"_{k}") for k in key], name)

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -67,14 +67,15 @@ def in_partitions(stored: DataFrame, touched: DataFrame) -> DataFrame:
         F.collect_set(region).alias("regions"), F.collect_set(day).alias("days"),
         F.bool_or(F.col(region).isNull()).alias("no_region"), F.bool_or(F.col(day).isNull()).alias("no_day"),
     ).first()
-    stored = stored.where(_one_of(region, named.regions, named.no_region) & _one_of(day, named.days, named.no_day))
+    stored = stored.where(one_of(region, named.regions, named.no_region) & one_of(day, named.days, named.no_day))
     wanted = touched.select(F.col(region).alias("_region"), F.col(day).alias("_day"))
     return stored.join(
         wanted, F.col(region).eqNullSafe(F.col("_region")) & F.col(day).eqNullSafe(F.col("_day")), "left_semi"
     )
 
 
-def _one_of(column: str, values: list, with_null: bool | None):
+def one_of(column: str, values: list, with_null: bool | None) -> Column:
+    """A condition that a scan can prune partitions with."""
     listed = F.col(column).isin(sorted(values))
     return listed | F.col(column).isNull() if with_null else listed
 
