@@ -204,6 +204,31 @@ def landing_zone(spark: SparkSession, sf_dir: str) -> str:
     return once(spark, "landing", sf_dir, lambda p: land(stamped(spark, sf_dir).drop("l_linenumber"), p))
 
 
+def drifted_zone(spark: SparkSession, sf_dir: str) -> str:
+    """Two landings of the same payloads' shape: the first three lines of an order as ever, the others with leaves and types that
+    no contract names. Their views and new counters are numbers, and every eleventh order's titles are objects."""
+    changed = """transform(items, item -> named_struct('id', item.id,
+        'snippet', named_struct('title', {title}, 'channelTitle', item.snippet.channelTitle, 'categoryId', item.snippet.categoryId,
+            'publishedAt', item.snippet.publishedAt, 'tags', item.snippet.tags, 'thumbnails', item.snippet.thumbnails,
+            'liveBroadcastContent', if(l_linenumber = 5, 'live', 'none')),
+        'statistics', named_struct('viewCount', cast(item.statistics.viewCount as bigint), 'likeCount', item.statistics.likeCount,
+            'commentCount', item.statistics.commentCount, 'favoriteCount', 2 * l_linenumber),
+        'contentDetails', named_struct('duration', concat('PT', l_linenumber, 'M'), 'caption', l_linenumber = 7)))"""
+    text = "to_json(named_struct('items', {items}, '_pipeline_metadata', _pipeline_metadata, 'etag', l_orderkey))"
+    plain, titled = (changed.format(title=t) for t in ("item.snippet.title", "named_struct('text', item.snippet.title)"))
+
+    def write(path: str) -> None:
+        rows = stamped_orders(spark, sf_dir)
+        for portion, value in (
+            ("l_linenumber <= 3", text.format(items="items")),
+            ("l_linenumber > 3", f"if(l_orderkey % 11 = 0, {text.format(items=titled)}, {text.format(items=plain)})"),
+        ):
+            lines = rows.where(portion).select("region", "date", "hour", F.expr(value).alias("value"))
+            lines.hint("rebalance", "region", "date", "hour").write.mode("append").partitionBy("region", "date", "hour").text(path)
+
+    return once(spark, "drifted", sf_dir, write)
+
+
 def history_zone(spark: SparkSession, sf_dir: str) -> str:
     """The history rows as CSV below region folders, with quotes and line breaks in the text."""
 

@@ -252,6 +252,51 @@ sql(
     "from good where date = date '2021-05-31'",
 )
 
+sql(
+    "drift_capture",
+    f"""{ITEMS},
+conformed as (
+  select id as video_id, strftime(date, '%y.%d.%m') as trending_date, {to_long("view_text")} as views, {to_long("like_text")} as likes,
+    cast(null as bigint) as dislikes, cast(null as bigint) as comment_count, region, landed_at, title as given, l_linenumber as line,
+    l_linenumber > 3 and l_orderkey % 11 = 0 as titled
+  from items),
+silver as (
+  select * from ({CLEANSE})
+  qualify row_number() over (partition by video_id, region, trending_date_parsed order by landed_at desc) = 1)""",
+    """select video_id, region, trending_date_parsed, case when not titled then given end as title, views, likes,
+      case when line > 3 then case when line = 5 then 'live' else 'none' end end as live,
+      case when line > 3 then cast(2 * line as bigint) end as favorites, case when line > 3 then 'PT' || line || 'M' end as duration,
+      case when line > 3 then line = 7 end as captioned, case when titled then given end as kept_title, cast(null as bigint) as unfit
+    from silver""",
+)
+ITEM_LEAVES = (
+    ("id", "STRING", "string", "same", "id is not null"), ("snippet.title", "STRING", "string", "same", "not titled"),
+    ("snippet.title", "OBJECT", "string", "refuse", "titled"), ("snippet.channelTitle", "STRING", "string", "same", "true"),
+    ("snippet.categoryId", "STRING", "string", "same", "true"), ("snippet.publishedAt", "STRING", "string", "same", "true"),
+    ("snippet.description", "STRING", "string", "same", "not late and description is not null"),
+    ("snippet.tags", "ARRAY<STRING>", "array<string>", "same", "tags is not null"),
+    ("snippet.thumbnails.default.url", "STRING", "string", "same", "true"),
+    ("snippet.liveBroadcastContent", "STRING", None, "keep apart", "late"),
+    ("statistics.viewCount", "STRING", "string", "same", "not late and view_text is not null"),
+    ("statistics.viewCount", "BIGINT", "string", "as text", "late and view_text is not null"),
+    ("statistics.likeCount", "STRING", "string", "same", "true"),
+    ("statistics.dislikeCount", "STRING", "string", "same", "not late and dislike_text is not null"),
+    ("statistics.commentCount", "STRING", "string", "same", "true"),
+    ("statistics.favoriteCount", "BIGINT", None, "keep apart", "late"),
+    ("contentDetails.duration", "STRING", None, "keep apart", "late"), ("contentDetails.caption", "BOOLEAN", None, "keep apart", "late"),
+)
+sql(
+    "drift_report",
+    f"{ITEMS},\njudged as (select *, l_linenumber > 3 as late, l_linenumber > 3 and l_orderkey % 11 = 0 as titled from items)",
+    "select * from ("
+    + " union all ".join(
+        f"select '{path}' as path, '{seen}' as seen, {'cast(null as varchar)' if kind is None else chr(39) + kind + chr(39)} as contract, "
+        f"'{action}' as action, count(*) as items from judged where {condition}"
+        for path, seen, kind, action, condition in ITEM_LEAVES
+    )
+    + ") where items > 0",
+)
+
 # landing ------------------------------------------------------------------------
 
 sql(

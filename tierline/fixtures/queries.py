@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tierline import functions as fn
 from tierline.fixtures import derive as d
-from tierline.operators import cleanse, enrich, landing, marts, quality, reference, serving, shape
+from tierline.operators import cleanse, drift, enrich, landing, marts, quality, reference, serving, shape
 from tierline.plans import contracts
 from tierline.plans.flow import run_flow
 from tierline.plans.gold import lookup_or_none
@@ -23,6 +23,7 @@ from tierline.sources import (
     grow_table,
     read_envelopes,
     read_history_csv,
+    read_landed_text,
     read_reference,
     read_table,
     reference_for_day,
@@ -30,7 +31,7 @@ from tierline.sources import (
     replace_partitions,
     restrict_regions,
 )
-from tierline.streaming import merge_snapshots, run_increment, take_in
+from tierline.streaming import merge_snapshots, read_stored, run_increment, take_in
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -105,6 +106,26 @@ def scan_envelopes(spark, sf_dir):
     )
 
 
+@query
+def drift_capture(spark, sf_dir):
+    """Silver from landings whose leaves and types changed: contract columns, and leaves of the extras made columns."""
+    silver = fresh_path(spark, "drift-silver")
+    run_increment(spark, d.drifted_zone(spark, sf_dir), silver, fresh_path(spark, "drift-checkpoint"), d.AS_OF, capture=True)
+    leaves = {
+        "live": ("snippet.liveBroadcastContent", "string"), "favorites": ("statistics.favoriteCount", "bigint"),
+        "duration": ("contentDetails.duration", "string"), "captioned": ("contentDetails.caption", "boolean"),
+        "kept_title": ("snippet.title.text", "string"), "unfit": ("contentDetails.duration", "bigint"),
+    }
+    rows = drift.promoted(read_stored(spark, silver), leaves)
+    return rows.select("video_id", "region", "trending_date_parsed", "title", "views", "likes", *leaves)
+
+
+@query
+def drift_report(spark, sf_dir):
+    """Which types came at which paths of the items, how often, and what becomes of them."""
+    return drift.drift(drift.item_variants(read_landed_text(spark.read, d.drifted_zone(spark, sf_dir))))
+
+
 @query
 def scan_history_csv(spark, sf_dir):
     rows = read_history_csv(spark, d.history_zone(spark, sf_dir))

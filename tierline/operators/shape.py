@@ -11,14 +11,14 @@ from pyspark.sql import types as T
 
 from tierline.functions import tags_text, to_bool, to_long
 from tierline.functions.text import SHORT_DATE_FORMAT
-from tierline.plans.contracts import CORRUPT, LANDED_AT, SOURCE_FILE, STATISTICS, Field
+from tierline.plans.contracts import CORRUPT, EXTRA, LANDED_AT, SOURCE_FILE, STATISTICS, Field
 
 ORIGIN = (LANDED_AT, SOURCE_FILE)
 
 
 def explode_items(envelopes: DataFrame) -> DataFrame:
     """One row per item in ``item``; all other columns stay. Envelopes without items vanish."""
-    others = [c for c in envelopes.columns if c != "items"]
+    others = [c for c in envelopes.columns if c not in ("items", EXTRA)]
     return envelopes.select(*others, F.explode("items").alias("item"))
 
 
@@ -88,7 +88,7 @@ def conform_api(items: DataFrame, as_of: date | None = None) -> DataFrame:
     """The contract columns from API items, exploded, dotted or double-underscored.
 
     The trending date is ``as_of`` when given, else the landing partition ``date``,
-    else today; it is written in the short text form. Origin columns pass through.
+    else today; it is written in the short text form. Origin columns and an item's extras pass through.
     """
     schema = items.schema
     nested = detect_dialect(schema) == "item"
@@ -115,8 +115,11 @@ def conform_api(items: DataFrame, as_of: date | None = None) -> DataFrame:
             return _absent(field)
         return _typed(leaf, field, items.select(leaf).schema[0].dataType)
 
+    extra = _item_leaf(schema, EXTRA) if nested else None
     return items.select(
-        *[from_source(f).alias(f.name) for f in STATISTICS], *_present(items, ORIGIN)
+        *[from_source(f).alias(f.name) for f in STATISTICS],
+        *_present(items, ORIGIN),
+        *([] if extra is None else [extra.alias(EXTRA)]),
     )
 
 

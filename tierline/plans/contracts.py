@@ -51,6 +51,8 @@ LANDED_AT = "_landed_at"
 SOURCE_FILE = "_source_file"
 # the text of a record that could not be read
 CORRUPT = "_corrupt_record"
+# what a payload holds outside the contract
+EXTRA = "_extra"
 
 ITEM = T.StructType(
     [

@@ -1,10 +1,12 @@
 """Readers and writers."""
 
 from tierline.sources.readers import (
+    capture_envelopes,
     envelope_errors,
     history_errors,
     read_envelopes,
     read_history_csv,
+    read_landed_text,
     read_reference,
     read_table,
     reference_for_day,
@@ -14,11 +16,13 @@ from tierline.sources.writers import append_partitions, grow_table, register_tab
 
 __all__ = [
     "append_partitions",
+    "capture_envelopes",
     "envelope_errors",
     "grow_table",
     "history_errors",
     "read_envelopes",
     "read_history_csv",
+    "read_landed_text",
     "read_reference",
     "read_table",
     "reference_for_day",

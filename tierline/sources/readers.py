@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamReader
 
 from tierline.functions import clean_region
+from tierline.operators.drift import captured
 from tierline.plans.contracts import (
     CATEGORY_DOCUMENT,
     CORRUPT,
@@ -52,6 +54,20 @@ def read_envelopes(spark: SparkSession, root: str, one_per_file: bool = False) -
     return with_origin(reader.json(root))
 
 
+def read_landed_text(reader: DataFrameReader | DataStreamReader, root: str, one_per_file: bool = False) -> DataFrame:
+    """What lies below ``root`` as text in ``value``, one envelope a line or a file, with the landing partitions."""
+    schema = T.StructType([T.StructField("value", T.StringType()), *LANDING_PARTITIONS.fields])
+    lines = reader.schema(schema).option("wholetext", one_per_file).text(root)
+    return lines.withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
+
+
+def capture_envelopes(reader: DataFrameReader | DataStreamReader, root: str, one_per_file: bool = False) -> DataFrame:
+    """As ``read_envelopes``, from a batch or a streaming reader; what the contract doesn't name is kept in ``_extra``."""
+    return captured(read_landed_text(reader, root, one_per_file)).withColumn(
+        LANDED_AT, F.try_to_timestamp(F.col("_pipeline_metadata.ingestion_timestamp"))
+    )
+
+
 def envelope_errors(envelopes: DataFrame) -> DataFrame:
     """One row per envelope that can't be used, with its file, the reason and its text as far as it was kept."""
     reason = F.when(F.col(CORRUPT).isNotNull(), "not valid JSON").when(F.col("items").isNull(), "no items")

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tierline.plans.lattice import merged_schema
+
 
 def _laid_out(df: DataFrame, by: Sequence[str]) -> DataFrame:
     """Few files per partition value: rows meet by value, and AQE splits values that are too big."""
@@ -50,9 +52,23 @@ def register_table(
 
 
 def grow_table(spark: SparkSession, name: str, schema: T.StructType) -> list[str]:
-    """Adds the columns ``name`` does not have yet; rows written before read null there."""
-    known = {c.lower() for c in spark.table(name).columns}
-    added = [f for f in schema.fields if f.name.lower() not in known]
-    if added:
+    """Gives ``name`` the columns it does not have yet, and wider types where ``schema`` has them; the names of both.
+
+    Rows written before read null in new columns. A type that can't be widened without loss raises ``SchemaConflict``.
+    A catalog of Parquet folders can't change a column's type in place, so the table is then declared anew over its folder.
+    """
+    table = spark.table(name).schema
+    stored = {f.name.lower(): f for f in table.fields}
+    alike = T.StructType([T.StructField(stored.get(f.name.lower(), f).name, f.dataType) for f in schema.fields])
+    merged = merged_schema(table, alike)
+    added = [f for f in schema.fields if f.name.lower() not in stored]
+    changed = [f.name for f in table.fields if merged[f.name].dataType != f.dataType]
+    if changed:
+        details = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
+        path = next(r.data_type for r in details if r.col_name == "Location")
+        by = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+        spark.sql(f"DROP TABLE {name}")
+        register_table(spark, name, path, merged, by)
+    elif added:
         spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({_column_list(T.StructType(added))})")
-    return [f.name for f in added]
+    return [f.name for f in added] + changed

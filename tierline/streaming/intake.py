@@ -17,9 +17,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierline.operators.cleanse import dedup_latest
+from tierline.plans.lattice import merged_schema
 from tierline.plans.silver import SilverCount
 from tierline.session import fresh_path
-from tierline.sources.readers import envelope_errors, envelope_options, envelope_schema, with_origin
+from tierline.sources.readers import capture_envelopes, envelope_errors, envelope_options, envelope_schema, with_origin
 from tierline.sources.writers import replace_partitions
 
 SILVER_PARTITIONS = ("region", "trending_date_parsed")
@@ -36,11 +37,6 @@ def _exists(read: Callable[[], DataFrame]) -> DataFrame | None:
         raise
 
 
-def _joined(one: T.StructType, other: T.StructType) -> T.StructType:
-    known = set(one.names)
-    return T.StructType([*one.fields, *[f for f in other.fields if f.name not in known]])
-
-
 def stored_schema(spark: SparkSession, path: str) -> T.StructType | None:
     """All columns of the table at ``path``: as noted by the last merge, else from the footers of its files."""
     note = _exists(lambda: spark.read.text(f"{path}/{SCHEMA_NOTE}"))
@@ -50,6 +46,11 @@ def stored_schema(spark: SparkSession, path: str) -> T.StructType | None:
     return None if table is None else table.schema
 
 
+def read_stored(spark: SparkSession, path: str) -> DataFrame:
+    """The table at ``path`` with all columns that were ever merged into it."""
+    return spark.read.schema(stored_schema(spark, path)).parquet(path)
+
+
 def note_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
     """Remembers the columns of the table at ``path`` for later merges."""
     spark.createDataFrame([(schema.json(),)], "value string").write.mode("overwrite").text(f"{path}/{SCHEMA_NOTE}")
@@ -92,7 +93,8 @@ def merge_snapshots(batch: DataFrame, path: str, staging: str | None = None, key
     The batch and its merge are written to ``staging`` first, as a partition can't be overwritten while it is read. With
     the same ``staging`` and ``key``, a run that died while replacing partitions is repaired by repeating the batch: the
     finished merge is applied again instead of being rebuilt from a half-replaced table. Staging keeps the last two
-    keys, in turn. Stored and new rows are read with the columns of both.
+    keys, in turn. Stored and new rows are read with the columns of both, in types that hold the values of both; a column
+    whose types have none ends the merge with a ``SchemaConflict`` before anything is changed.
     """
     spark = batch.sparkSession
     staging = staging or fresh_path(spark, "merged")
@@ -102,7 +104,8 @@ def merge_snapshots(batch: DataFrame, path: str, staging: str | None = None, key
         fresh = spark.read.schema(batch.schema).parquet(f"{slot}-batch")
         fresh.select(*SILVER_PARTITIONS).distinct().write.mode("overwrite").parquet(f"{slot}-touched")
         touched, known = spark.read.parquet(f"{slot}-touched"), stored_schema(spark, path)
-        schema = batch.schema if known is None else _joined(known, batch.schema)
+        schema = batch.schema if known is None else merged_schema(known, batch.schema)
+        fresh = fresh.select(*[F.col(f.name).cast(schema[f.name].dataType) for f in batch.schema.fields])
         if known is not None:
             stored = in_partitions(spark.read.schema(schema).parquet(path), touched)
             fresh = dedup_latest(stored.unionByName(fresh, allowMissingColumns=True))
@@ -142,15 +145,17 @@ def take_in(
     files_per_batch: int | None = None,
     one_per_file: bool = False,
     touched_path: str | None = None,
+    capture: bool = False,
 ) -> list[dict[str, int]]:
     """Takes in what landed since the last run and gives the counts of each batch. No new files, no batch, no write.
 
     ``files_per_batch`` bounds a batch when a backlog is taken in. All that belongs to the stream lies below
     ``checkpoint``: its progress, ``merged`` with the staging of the last two batches, ``errors`` with the unusable
     envelopes of each batch. So a reset of the stream resets them too. The region-days that a batch touched are added
-    below ``touched_path`` before the batch counts as done; see ``pending_partitions``.
+    below ``touched_path`` before the batch counts as done; see ``pending_partitions``. With ``capture``, what payloads
+    hold outside the contract is kept in ``_extra``; else only what the contract names is read.
     """
-    reader = spark.readStream.schema(envelope_schema()).options(**envelope_options(one_per_file))
+    reader = spark.readStream
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     done: list[dict[str, int]] = []
@@ -166,8 +171,13 @@ def take_in(
             add_pending(touched, touched_path, f"{run}-{batch_id}")
         done.append({} if repeated else count.counts())
 
+    if capture:
+        envelopes = capture_envelopes(reader, landing_root, one_per_file)
+    else:
+        typed = reader.schema(envelope_schema()).options(**envelope_options(one_per_file))
+        envelopes = with_origin(typed.json(landing_root))
     query = (
-        with_origin(reader.json(landing_root))
+        envelopes
         .writeStream.foreachBatch(merge)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -185,6 +195,7 @@ def run_increment(
     as_of: datetime | None = None,
     files_per_batch: int | None = None,
     one_per_file: bool = False,
+    capture: bool = False,
 ) -> int:
     """``take_in``, for the number of batches alone."""
-    return len(take_in(spark, landing_root, silver_path, checkpoint, as_of, files_per_batch, one_per_file))
+    return len(take_in(spark, landing_root, silver_path, checkpoint, as_of, files_per_batch, one_per_file, capture=capture))
