@@ -297,6 +297,49 @@ sql(
     + ") where items > 0",
 )
 
+DAY = r"""case when regexp_matches(trending_date, '^\d{2}\.\d{2}\.\d{2}$') then cast(try_strptime(trending_date, '%y.%d.%m') as date)
+  else try_cast(trending_date as date) end"""
+FAULTS = (
+    ("no_video_id", "quarantine", "video_id is null"), ("no_title", "flag", "title is null or trim(title) = ''"),
+    ("no_channel", "flag", "channel_title is null"), ("no_views", "flag", "views is null"), ("negative_views", "quarantine", "views < 0"),
+    ("no_trending_date", "flag", f"({DAY}) is null"), ("more_likes_than_views", "flag", "likes > views"),
+)
+
+
+def flag_bits(changed: str = "views < 0") -> str:
+    faults = [changed if name == "negative_views" else fault for name, _, fault in FAULTS]
+    return " + ".join(f"case when {fault} then {1 << i} else 0 end" for i, fault in enumerate(faults))
+
+
+FAULTY = f"""{CONFORMED},
+faulty as (
+  select * replace (case when likes % 13 = 0 then -views else views end as views,
+    case when category_id % 9 = 0 then null else channel_title end as channel_title) from conformed),
+judged as (select *, cast({flag_bits()} as bigint) as mask, cast({flag_bits('views < -20000')} as bigint) as later from faulty)"""
+sql(
+    "row_flags",
+    FAULTY,
+    " union all ".join(
+        f"select '{name}' as rule, '{action}' as action, {big(f'coalesce(sum((mask >> {i}) & 1), 0)')} as \"rows\", "
+        f"count(*) filter (mask = {1 << i}) as alone from judged"
+        for i, (name, action, _) in enumerate(FAULTS)
+    ),
+)
+sql(
+    "quarantine_readmission",
+    f"{FAULTY},\nletin as (select * exclude (mask, later), case when mask & 17 = 0 then mask else later end as flags from judged where later & 17 = 0),\n"
+    f"silver as (select * from ({CLEANSE.replace('from conformed where', 'from letin where')}) "
+    "qualify row_number() over (partition by video_id, region, trending_date_parsed order by landed_at desc, tie_key desc) = 1)",
+    "select video_id, region, trending_date_parsed, views, channel_title, engagement_rate, flags from silver",
+)
+sql(
+    "quarantine_rows",
+    f"{FAULTY},\nheld as (select case when dislikes <= 3 then 'a' else 'b' end as batch, later & 17 = 0 as let_in, "
+    "case when later & 17 = 0 then later else mask end as kept from judged where mask & 17 <> 0)",
+    "select batch, concat_ws('|', " + ", ".join(f"case when kept & {1 << i} <> 0 then '{name}' end" for i, (name, _, _) in enumerate(FAULTS))
+    + ') as faults, count(*) as "rows", count(*) filter (let_in) as readmitted from held group by all',
+)
+
 # landing ------------------------------------------------------------------------
 
 sql(

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from tierline import functions as fn
 from tierline.fixtures import derive as d
-from tierline.operators import cleanse, drift, enrich, landing, marts, quality, reference, serving, shape
-from tierline.plans import contracts
+from tierline.operators import cleanse, drift, enrich, flags, landing, marts, quality, reference, serving, shape
+from tierline.plans import contracts, quarantine
 from tierline.plans.flow import run_flow
 from tierline.plans.gold import lookup_or_none
 from tierline.plans.silver import SilverCount, cleansed, silver_reference, silver_statistics
@@ -237,6 +237,49 @@ def mixed_silver(spark, sf_dir):
     return spark.read.parquet(silver).select(*SILVER_COLUMNS)
 
 
+def _faulty(spark, sf_dir):
+    """Conformed history rows, some with negative views or without a channel."""
+    rows = shape.conform(d.snapshots(spark, sf_dir))
+    return rows.withColumn("views", F.expr("if(likes % 13 = 0, -views, views)")).withColumn(
+        "channel_title", F.expr("if(category_id % 9 = 0, null, channel_title)")
+    )
+
+
+@query
+def row_flags(spark, sf_dir):
+    """How many rows break each rule, and how many of these no other."""
+    return flags.flag_counts(quarantine.judged(_faulty(spark, sf_dir)))
+
+
+#: Rules that let rows with up to 20,000 views below zero in.
+RELAXED = tuple(replace(r, fault="views < -20000") if r.name == "negative_views" else r for r in flags.STATISTICS_RULES)
+
+
+def _readmitted(spark, sf_dir):
+    """Silver from two batches with rows kept out, some of which are let in when a rule changes; and what was kept out."""
+    silver, held = fresh_path(spark, "flagged-silver"), quarantine.Quarantine(spark, fresh_path(spark, "quarantine"))
+    rows = _faulty(spark, sf_dir)
+    for batch, portion in (("a", "dislikes <= 3"), ("b", "dislikes > 3")):
+        merge_snapshots(quarantine.finished(held.route(rows.where(portion), batch), d.AS_OF), silver)
+    held.readmit(silver, RELAXED, d.AS_OF)
+    return read_stored(spark, silver), held.rows()
+
+
+@query
+def quarantine_readmission(spark, sf_dir):
+    """Silver after rows that were kept out were let in, with the faults that they were let in with."""
+    silver, _ = _readmitted(spark, sf_dir)
+    return silver.select("video_id", "region", "trending_date_parsed", "views", "channel_title", "engagement_rate", F.col(flags.FLAGS).alias("flags"))
+
+
+@query
+def quarantine_rows(spark, sf_dir):
+    """What was kept out of each batch, by its faults, and how much of it was let in later."""
+    _, held = _readmitted(spark, sf_dir)
+    names = F.array_join(flags.flag_names(flags.STATISTICS_RULES), "|").alias("faults")
+    return held.groupBy("batch", names).agg(F.count(F.lit(1)).alias("rows"), F.count(quarantine.READMITTED).alias("readmitted"))
+
+
 @query
 def empty_input_noop(spark, sf_dir):
     path = fresh_path(spark, "noop")

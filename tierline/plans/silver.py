@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, Observation
@@ -38,13 +38,14 @@ def silver_statistics(
 class SilverCount:
     """Counts rows on their way to Silver while it is written: rows in, rows kept, and what is odd about those kept.
 
-    ``silver`` is the observed frame. Its first action, a write, takes the counts; no other scan is made.
+    ``silver`` is the observed frame. Its first action, a write, takes the counts; no other scan is made. ``clean``
+    makes Silver rows of conformed ones, where that is not the usual way.
     """
 
-    def __init__(self, raw: DataFrame, as_of: datetime | None = None):
+    def __init__(self, raw: DataFrame, as_of: datetime | None = None, clean: Callable[[DataFrame], DataFrame] | None = None):
         self.read, self.kept = Observation(), Observation()
         conformed = shape.conform(raw).observe(self.read, F.count(F.lit(1)).alias("rows_read"))
-        silver = cleanse.dedup_latest(cleansed(conformed, as_of))
+        silver = cleanse.dedup_latest(cleansed(conformed, as_of)) if clean is None else clean(conformed)
         self.silver = silver.observe(self.kept, *cleanse.kept_counts())
 
     def counts(self) -> dict[str, int]:

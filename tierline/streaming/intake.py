@@ -146,6 +146,7 @@ def take_in(
     one_per_file: bool = False,
     touched_path: str | None = None,
     capture: bool = False,
+    clean: Callable[[DataFrame, int], DataFrame] | None = None,
 ) -> list[dict[str, int]]:
     """Takes in what landed since the last run and gives the counts of each batch. No new files, no batch, no write.
 
@@ -153,7 +154,8 @@ def take_in(
     ``checkpoint``: its progress, ``merged`` with the staging of the last two batches, ``errors`` with the unusable
     envelopes of each batch. So a reset of the stream resets them too. The region-days that a batch touched are added
     below ``touched_path`` before the batch counts as done; see ``pending_partitions``. With ``capture``, what payloads
-    hold outside the contract is kept in ``_extra``; else only what the contract names is read.
+    hold outside the contract is kept in ``_extra``; else only what the contract names is read. ``clean`` makes Silver
+    rows of the conformed rows of a batch, given its number, where that is not the usual way.
     """
     reader = spark.readStream
     if files_per_batch is not None:
@@ -163,9 +165,9 @@ def take_in(
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         envelope_errors(batch).write.mode("overwrite").parquet(f"{checkpoint}/errors/batch={batch_id}")
-        count = SilverCount(batch, as_of)
         staging = f"{checkpoint}/merged"
         repeated = is_merged(spark, staging, batch_id)  # then it is applied without being counted again
+        count = SilverCount(batch, as_of, None if clean is None else lambda rows: clean(rows, batch_id))
         touched = merge_snapshots(count.silver, silver_path, staging, batch_id)
         if touched_path is not None:
             add_pending(touched, touched_path, f"{run}-{batch_id}")
