@@ -165,11 +165,55 @@ def test_exchange_finds_words_with_the_same_neighbours():
     assert len({*own[:3]}) == 1 and len({*own[3:6]}) == 1 and own[0] != own[3] and own[8] == 0
 
 
-def test_class_probabilities_add_up():
-    model_words = {"a": 5, "b": 3}
-    units = brown_lm.Units(list(model_words))
-    assert units.of(["a", "b"]).tolist() == [0, 1]
-    assert all(brown_lm.SINGLES <= u < brown_lm.END_UNIT for u in units.of(["c", "", "xyz", "日本"]))
+def test_class_scores_equal_a_plain_model_and_add_up(spark, docs, rows):
+    held = id_bucket(7) == 2
+    known, counts = brown_lm.lexicon(brown_lm.texts(docs.where(~held)))
+    parts = brown_lm.numbered(docs, known, held)
+    model = brown_lm.cluster(parts.where("not held_out").select("tokens"), known)
+    got = sorted((-1 if r.doc_id is None else r.doc_id, r.n_tokens, r.score) for r in brown_lm.score_numbered(parts, model, counts).collect())
+    tokens = [(-1 if i is None else i, (t or "").encode().lower().split(), zlib.crc32(("" if i is None else str(i)).encode()) % 7 == 2) for i, t, _ in rows]
+    seen = Counter(w for _, ws, out in tokens if not out for w in ws)
+    seen[None] = sum(not out for _, _, out in tokens)
+    end, first_form = len(known.hashes) + brown_lm.FORMS, len(known.hashes)
+    by_hash = {h: i for i, h in enumerate(known.hashes.tolist())}
+
+    def class_of(word):
+        if word is None:
+            return int(model.class_of[end])
+        number = by_hash.get(int(brown_lm.word_hashes(pa.array([word.decode()]))[0])) if seen[word] > 1 else None
+        number = first_form + brown_lm.form_unit(word.decode()) - brown_lm.SINGLES if number is None else number
+        return int(model.class_of[number])
+
+    of = {w: class_of(w) for w in {w for _, ws, _ in tokens for w in ws} | {None}}
+    pairs, size, held_words = Counter(), Counter(), Counter()
+    for _, ws, out in tokens:
+        line = [None, *ws, None]
+        if not out:
+            pairs.update((of[a], of[b]) for a, b in zip(line, line[1:]))
+            size.update(of[w] for w in line[1:])
+    held_words.update(of[w] for w, n in seen.items() if n)
+    after = Counter()
+    for (a, _), n in pairs.items():
+        after[a] += n
+
+    def log(a, b):
+        step = (pairs[of[a], of[b]] + brown_lm.TRANSITION) / (after[of[a]] + brown_lm.TRANSITION * brown_lm.CLASSES)
+        return math.log10(step) + math.log10((seen[b] + 1) / (size[of[b]] + held_words[of[b]] + 1))
+
+    want = sorted((i, len(ws) + 1, sum(log(a, b) for a, b in zip([None, *ws], [*ws, None]))) for i, ws, _ in tokens)
+    assert [g[:2] for g in got] == [w[:2] for w in want]
+    assert [g[2] for g in got] == pytest.approx([w[2] for w in want], rel=1e-9)
+    assert np.allclose((10**model.transition).sum(1), 1)
+    for c in held_words:  # known words of a class, and one share for all others
+        shares = sum(n + 1 for w, n in seen.items() if n and of[w] == c) + 1
+        assert shares / 10 ** model.class_size[c] == pytest.approx(1)
+
+
+def test_singles_do_not_depend_on_what_is_carried(spark):
+    table = spark.createDataFrame([(f"w{i:06}", 7) for i in range(5000)], "word string, n bigint").repartition(7)
+    assert brown_lm._singles(table) == [f"w{i:06}" for i in range(brown_lm.SINGLES)]
+    within, beyond = brown_lm._by_frequency(table, 100)
+    assert within.count() == 0 and beyond.count() == 5000
 
 
 def test_words_beyond_the_most_frequent_are_clustered_by_themselves(spark):
@@ -181,9 +225,9 @@ def test_words_beyond_the_most_frequent_are_clustered_by_themselves(spark):
 
     train = spark.createDataFrame([(i, text((0, 1))) for i in range(1500)], "doc_id bigint, text string").repartition(3)
     model, counts = brown_lm.learn(train)
-    assert len(model.hashes) == 2400
+    assert len(model.lexicon.hashes) == 2400
     # only words that the clustering didn't start from
-    known = set(model.carried[: brown_lm.SINGLES])
+    known = set(brown_lm._singles(counts.where("word <> ''")))
     sides = [[w for w in side if w not in known] * 1200 for side in sides]
     tests = spark.createDataFrame([(i, text((0, 1) if i % 2 else (0, 0))) for i in range(20)], "doc_id bigint, text string")
     per_token = {r.doc_id: r.score / r.n_tokens for r in brown_lm.score(tests, model, counts).collect()}

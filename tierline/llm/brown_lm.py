@@ -22,6 +22,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,7 +42,7 @@ LEAST_GAIN = 5e-4
 #: Tokens counted at once in a task, and words whose neighbours are added up at once.
 STEP_TOKENS, BUCKET_WORDS = 1 << 21, 50_000
 #: At most so many of the most frequent words have their counts carried to the tasks; all others are joined.
-CARRIED = 50_000
+CARRIED = 200_000
 #: Added to each count of one class after another.
 TRANSITION = 0.5
 #: How the end of a text is written among the words; no word is empty.
@@ -49,7 +50,7 @@ END = ""
 UNITS = SINGLES + FORMS + 1
 END_UNIT = UNITS - 1
 PART_SCHEMA = (
-    "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, logs double, class_part double, "
+    "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, logs double, tokens array<int>, "
     "rare array<string>, times array<int>"
 )
 
@@ -87,13 +88,6 @@ class Vocabulary:
         at[rest] = [shift + form_unit(w) for w in distinct.take(pa.array(rest)).to_pylist()]
         return at
 
-    def tokens(self, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """The numbers of all texts in a row, each text closed by its end, and the tokens of each."""
-        flat, lengths = words(text)
-        encoded = flat.dictionary_encode()
-        own = self.of(encoded.dictionary)[encoded.indices.to_numpy(zero_copy_only=False)]
-        return np.insert(own, np.cumsum(lengths), self.end), lengths + 1
-
 
 def word_counts(docs: DataFrame) -> DataFrame:
     """``word`` and ``n`` over all texts; the empty word is the end of a text. Combined in the tasks, then by word."""
@@ -108,32 +102,6 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def unit_pairs(docs: DataFrame, singles: list[str]) -> DataFrame:
-    """How often one unit follows another, over all texts: at most UNITS * UNITS rows, and so many from each task."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units, pairs = Units(singles), np.zeros(UNITS * UNITS, np.int64)
-        for batch in slices(batches):
-            tokens, _ = _token_units(batch.column("text"), units)
-            pairs += np.bincount(tokens[:-1] * UNITS + tokens[1:], minlength=UNITS * UNITS)
-            pairs[tokens[-1] * UNITS + tokens[0]] += 1
-        full = np.flatnonzero(pairs)
-        yield pa.record_batch([pa.array(full, pa.int32()), pa.array(pairs[full])], ["pair", "n"])
-
-    return docs.select("text").mapInArrow(count, "pair int, n bigint").groupBy("pair").agg(F.sum("n").alias("n"))
-
-
-def _token_units(text: pa.Array, units: Units) -> tuple[np.ndarray, np.ndarray]:
-    """The units of all texts in a row, each text closed by its end, and the tokens of each.
-
-    Read as a ring, what comes before a text's first word is an end.
-    """
-    flat, lengths = words(text)
-    encoded = flat.dictionary_encode()
-    own = units.of(encoded.dictionary.to_pylist())[encoded.indices.to_numpy(zero_copy_only=False)]
-    return np.insert(own, np.cumsum(lengths), END_UNIT), lengths + 1
-
-
 def exchange(pairs: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS) -> np.ndarray:
     """A class for each unit, moving one at a time to where the likelihood of the class bigrams is highest.
 
@@ -205,22 +173,31 @@ def best_classes(near: np.ndarray, home: np.ndarray, between: np.ndarray) -> np.
     return np.where(value[rows, best] > value[rows, home] + 1e-9, best, home)
 
 
-def class_pairs(tokens: DataFrame, class_of: np.ndarray) -> np.ndarray:
-    """How often one class follows another."""
-    shared = tokens.sparkSession.sparkContext.broadcast(class_of)
+def pair_counts(tokens: DataFrame, group_of: Broadcast, groups: int) -> DataFrame:
+    """How often a word of one group follows one of another, over all texts, given the group of each number.
+
+    A text ends with the end, so read as a ring, what comes before its first word is an end. At most ``groups`` times
+    ``groups`` rows, and so many from each task.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs = np.zeros(CLASSES * CLASSES, np.int64)
+        pairs = np.zeros(groups * groups, np.int64)
         for batch in batches:
-            own = shared.value[batch.column("tokens").flatten().to_numpy(zero_copy_only=False)].astype(np.int32)
+            own = group_of.value[batch.column("tokens").flatten().to_numpy(zero_copy_only=False)].astype(np.int32)
             if len(own):
-                pairs += np.bincount(own[:-1] * CLASSES + own[1:], minlength=len(pairs))
-                pairs[int(own[-1]) * CLASSES + own[0]] += 1
+                pairs += np.bincount(own[:-1] * groups + own[1:], minlength=len(pairs))
+                pairs[int(own[-1]) * groups + own[0]] += 1
         full = np.flatnonzero(pairs)
         yield pa.record_batch([pa.array(full, pa.int32()), pa.array(pairs[full])], ["pair", "n"])
 
+    return tokens.mapInArrow(count, "pair int, n bigint").groupBy("pair").agg(F.sum("n").alias("n"))
+
+
+def class_pairs(tokens: DataFrame, class_of: np.ndarray) -> np.ndarray:
+    """How often one class follows another."""
+    shared = tokens.sparkSession.sparkContext.broadcast(class_of)
     between = np.zeros(CLASSES * CLASSES)
-    for r in tokens.mapInArrow(count, "pair int, n bigint").groupBy("pair").agg(F.sum("n").alias("n")).collect():
+    for r in pair_counts(tokens, shared, CLASSES).collect():
         between[r.pair] = r.n
     shared.destroy()
     return between.reshape(CLASSES, CLASSES)
@@ -297,66 +274,63 @@ def refine(tokens: DataFrame, class_of: np.ndarray, sweeps: int = SWEEPS) -> tup
     return class_of, between
 
 
+def _by_frequency(counts: DataFrame, words: int) -> tuple[DataFrame, DataFrame]:
+    """Two parts of ``counts``: the highest whole classes of counts that hold ``words`` words at most, and with the next class.
+
+    Sizes of count classes, a thousand at most, tell where to cut. So only what is asked for comes to the driver, and not
+    the most frequent words of every task.
+    """
+    size = F.floor(F.log2("n") * 16)
+    fitting, within, beyond = 0, None, 0
+    for r in sorted(counts.groupBy(size.alias("size")).agg(F.count(F.lit(1)).alias("words")).collect(), key=lambda r: -r["size"]):
+        fitting += r.words
+        if fitting > words:
+            beyond = r["size"]
+            break
+        within = r["size"]
+    return counts.where(F.lit(False) if within is None else size >= within), counts.where(size >= beyond)
+
+
+def _singles(counts: DataFrame) -> list[str]:
+    """The words that the clustering starts from: the most frequent ones, equal counts by word."""
+    _, enough = _by_frequency(counts, SINGLES)
+    return [r.word for r in enough.orderBy(F.desc("n"), "word").limit(SINGLES).collect()]
+
+
 @dataclass
-class Model:
-    """What tasks need: counts of the words carried, classes of all words clustered and of forms, and log10 tables."""
+class Lexicon:
+    """What the words of a corpus are, before they have classes: counts of the words carried, numbers of all words clustered
+    with their units at the start, words in each form, and totals."""
 
     carried: list[str]
     counts: np.ndarray
     hashes: np.ndarray
-    class_of: np.ndarray
-    transition: np.ndarray
-    class_size: np.ndarray
+    unit_of: np.ndarray
+    per_number: np.ndarray
     tokens: int
     distinct: int
     end_count: int
 
 
-def _most_frequent(counts: DataFrame) -> list:
-    """The most frequent words, CARRIED at most, in descending order of their counts.
-
-    Sizes of count classes, a thousand at most, tell from which class on all words fit. So only these words come to the
-    driver, and not the most frequent of every task.
-    """
-    size = F.floor(F.log2("n") * 16)
-    fitting, lowest = 0, None
-    for r in sorted(counts.groupBy(size.alias("size")).agg(F.count(F.lit(1)).alias("words")).collect(), key=lambda r: -r["size"]):
-        fitting += r.words
-        if fitting > CARRIED:
-            break
-        lowest = r["size"]
-    taken = [] if lowest is None else counts.where(size >= lowest).collect()
-    return sorted(taken, key=lambda r: (-r.n, r.word))
-
-
-def learn(train: DataFrame) -> tuple[Model, DataFrame]:
-    """The model of the texts in ``train``, and the counts of all their words as a table.
+def lexicon(train: DataFrame) -> tuple[Lexicon, DataFrame]:
+    """The lexicon of the texts in ``train``, and the counts of all their words as a table.
 
-    The driver sees the words carried, hash and class of all words clustered and tables of the classes. An empty ``train`` gives a model in
-    which all words are unknown.
+    The driver sees the words carried, and hash and unit of all words clustered.
     """
-    train = texts(train)
     counts = materialise(word_counts(train), "word-counts")
     total = counts.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.count(F.lit(1)).alias("words"),
         F.coalesce(F.sum(F.when(F.col("word") == END, F.col("n"))), F.lit(0)).alias("ends"),
     ).first()
-    carried = _most_frequent(counts.where(F.col("word") != END))
-    singles = [r.word for r in carried[:SINGLES]]
+    in_texts = counts.where(F.col("word") != END)
+    singles = _singles(in_texts)
+    carried = sorted(_by_frequency(in_texts, CARRIED)[0].collect(), key=lambda r: (-r.n, r.word))
 
-    def cluster(pairs: pd.DataFrame) -> pd.DataFrame:
-        table = np.zeros((UNITS, UNITS))
-        table.ravel()[pairs["pair"]] = pairs["n"]
-        return pd.DataFrame({"own": [exchange(table)]})
-
-    clustered = unit_pairs(train, singles).groupBy().applyInPandas(cluster, "own array<bigint>").collect()
-    start = np.array(clustered[0].own) if clustered else np.ones(UNITS, np.int64)
-
-    def starts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def unit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         units = Units(singles)
         for batch in batches:
             word = batch.column("word")
-            own = start[units.of(word.to_pylist())].astype(np.int16)
+            own = units.of(word.to_pylist()).astype(np.int16)
             yield pa.record_batch([pa.array(word_hashes(word).view(np.int64)), pa.array(own)], ["hash", "own"])
 
     def form_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -366,48 +340,36 @@ def learn(train: DataFrame) -> tuple[Model, DataFrame]:
         yield pa.record_batch([pa.array(np.arange(FORMS, dtype=np.int32)), pa.array(n)], ["form", "n"])
 
     # 10 bytes of each word clustered come to the driver, and 9 go to the tasks
-    found = counts.where((F.col("word") != END) & (F.col("n") >= OWN_CLASS)).select("word").mapInArrow(starts, "hash bigint, own smallint").toArrow()
+    found = in_texts.where(F.col("n") >= OWN_CLASS).select("word").mapInArrow(unit, "hash bigint, own smallint").toArrow()
     hashes, first = np.unique(found["hash"].to_numpy().view(np.uint64), return_index=True)
-    own = np.concatenate([found["own"].to_numpy()[first], start[SINGLES:END_UNIT], [0]]).astype(np.uint8)
-    per_number = np.ones(len(own))
+    unit_of = np.concatenate([found["own"].to_numpy()[first], np.arange(SINGLES, UNITS)]).astype(np.int16)
+    per_number = np.ones(len(unit_of))
     per_number[len(hashes) :] = 0
-    for r in counts.where((F.col("word") != END) & (F.col("n") < OWN_CLASS)).select("word").mapInArrow(form_words, "form int, n bigint").groupBy("form").agg(F.sum("n").alias("n")).collect():
+    rare = in_texts.where(F.col("n") < OWN_CLASS).select("word").mapInArrow(form_words, "form int, n bigint")
+    for r in rare.groupBy("form").agg(F.sum("n").alias("n")).collect():
         per_number[len(hashes) + r.form] = r.n
     per_number[-1] = 1 if total.words else 0
+    words_of = [r.word for r in carried], np.array([r.n for r in carried], np.int64)
+    return Lexicon(*words_of, hashes, unit_of, per_number, total.tokens, total.words, total.ends), counts
 
-    shared = train.sparkSession.sparkContext.broadcast(hashes)
 
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(shared.value)
-        for batch in slices(batches):
-            numbers, lengths = vocabulary.tokens(batch.column("text"))
-            offsets = pa.array(np.append(0, np.cumsum(lengths)), pa.int32())
-            yield pa.record_batch([pa.ListArray.from_arrays(offsets, pa.array(numbers, pa.int32()))], ["tokens"])
+@dataclass
+class Model:
+    """The lexicon, the classes of all numbers, log10 probabilities of one class after another, and log10 sizes of classes."""
 
-    tokens = materialise(train.select("text").mapInArrow(number, "tokens array<int>"), "word-numbers")
-    own, between = refine(tokens, own)
-    smooth = between + TRANSITION
-    return Model(
-        [r.word for r in carried],
-        np.array([r.n for r in carried], np.int64),
-        hashes,
-        own,
-        np.log10(smooth / smooth.sum(1, keepdims=True)),
-        np.log10(between.sum(0) + np.bincount(own, per_number, CLASSES) + 1),
-        total.tokens,
-        total.words,
-        total.ends,
-    ), counts
+    lexicon: Lexicon
+    class_of: np.ndarray
+    transition: np.ndarray
+    class_size: np.ndarray
 
 
-def score(docs: DataFrame, model: Model, counts: DataFrame, held_out: Column | None = None) -> DataFrame:
-    """log10 probabilities of every whole text (null: empty) under single words and under the class model.
+def numbered(docs: DataFrame, known: Lexicon, held_out: Column | None = None) -> DataFrame:
+    """Every text once split into its words: their numbers, and what its score under single words needs.
 
-    Both need the sum of log10(count + 1) over a text's tokens. Tasks add up what concerns words carried to them and
-    list the rare words of each text, which meet their counts in one join by word; no rare word is frequent enough to
-    weigh on a task. Rows get a number when the parts are written, so repeated or null ids do no harm.
+    Tasks add up what concerns words carried to them and list the rare words of each text. Rows get a number when they
+    are written, so repeated or null ids do no harm.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # CARRIED words and 9 bytes of each word clustered
+    shared = docs.sparkSession.sparkContext.broadcast(known)  # CARRIED words and 8 bytes of each word clustered
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
@@ -420,34 +382,101 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, held_out: Column | N
             at = np.fromiter((place.get(w, -1) for w in distinct), np.int64, len(distinct))
             n = np.where(at >= 0, m.counts[at] if len(m.counts) else 0, 0)
             logs = segment_sums(np.log10(n + 1.0)[codes], lengths)
-            known = segment_sums((n > 0)[codes].astype(np.int64), lengths)
-            own = m.class_of[np.insert(vocabulary.of(encoded.dictionary)[codes], np.cumsum(lengths), vocabulary.end)]
-            before = np.concatenate([own[-1:], own[:-1]])
-            class_part = segment_sums(m.transition[before, own] - m.class_size[own], lengths + 1)
+            hits = segment_sums((n > 0)[codes].astype(np.int64), lengths)
+            own = np.insert(vocabulary.of(encoded.dictionary)[codes], np.cumsum(lengths), vocabulary.end)
+            limits = pa.array(np.append(0, np.cumsum(lengths + 1)), pa.int32())
             rare, times, sizes = _rare(codes, at < 0, lengths)
             offsets = pa.array(np.append(0, np.cumsum(sizes)), pa.int32())
             columns = [
-                batch.column("doc_id"), batch.column("held_out"), pa.array(lengths + 1), pa.array(known), pa.array(logs), pa.array(class_part),
+                batch.column("doc_id"), batch.column("held_out"), pa.array(lengths + 1), pa.array(hits), pa.array(logs),
+                pa.ListArray.from_arrays(limits, pa.array(own, pa.int32())),
                 pa.ListArray.from_arrays(offsets, encoded.dictionary.take(pa.array(rare))), pa.ListArray.from_arrays(offsets, pa.array(times, pa.int32())),
             ]
             yield pa.record_batch(columns, [f.split()[0] for f in PART_SCHEMA.split(", ")])
 
     out = (F.lit(False) if held_out is None else held_out).alias("held_out")
     parts = texts(docs, out).mapInArrow(part, PART_SCHEMA)
-    parts = materialise(parts.withColumn("row", F.monotonically_increasing_id()), "score-parts")
+    return materialise(parts.withColumn("row", F.monotonically_increasing_id()), "word-numbers")
+
+
+def cluster(tokens: DataFrame, known: Lexicon) -> Model:
+    """The class model of the numbered texts in ``tokens``."""
+
+    def start(pairs: pd.DataFrame) -> pd.DataFrame:
+        table = np.zeros((UNITS, UNITS))
+        table.ravel()[pairs["pair"]] = pairs["n"]
+        return pd.DataFrame({"own": [exchange(table)]})
+
+    shared = tokens.sparkSession.sparkContext.broadcast(known.unit_of)
+    found = pair_counts(tokens, shared, UNITS).groupBy().applyInPandas(start, "own array<bigint>").collect()
+    shared.destroy()
+    first = np.array(found[0].own) if found else np.ones(UNITS, np.int64)
+    own = first[known.unit_of].astype(np.uint8)
+    own[-1] = 0  # the end
+    own, between = refine(tokens, own)
+    smooth = between + TRANSITION
+    return Model(
+        known, own, np.log10(smooth / smooth.sum(1, keepdims=True)),
+        np.log10(between.sum(0) + np.bincount(own, known.per_number, CLASSES) + 1),
+    )
+
+
+def learn(train: DataFrame) -> tuple[Model, DataFrame]:
+    """The model of the texts in ``train``, and the counts of all their words as a table.
+
+    An empty ``train`` gives a model in which all words are unknown.
+    """
+    train = texts(train)
+    known, counts = lexicon(train)
+    return cluster(numbered(train, known).select("tokens"), known), counts
+
+
+def score(docs: DataFrame, model: Model, counts: DataFrame, held_out: Column | None = None) -> DataFrame:
+    """log10 probabilities of every whole text (null: empty) under single words and under the class model."""
+    return score_numbered(numbered(docs, model.lexicon, held_out), model, counts)
+
+
+def learn_and_score(docs: DataFrame, held_out: Column) -> DataFrame:
+    """The scores of all texts by what is learned from those that are not ``held_out``; each text is split once to be
+    counted and once to be numbered."""
+    known, counts = lexicon(texts(docs.where(~held_out)))
+    parts = numbered(docs, known, held_out)
+    return score_numbered(parts, cluster(parts.where(~F.col("held_out")).select("tokens"), known), counts)
+
+
+def score_numbered(parts: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
+    """The scores of numbered texts.
+
+    Both scores need the sum of log10(count + 1) over a text's tokens. The rare words of each text meet their counts in
+    one join by word; no rare word is frequent enough to weigh on a task.
+    """
+    shared = parts.sparkSession.sparkContext.broadcast((model.class_of, model.transition, model.class_size))
+    kept = ("doc_id", "held_out", "n_tokens", "n_known", "logs", "row")
+
+    def classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        class_of, transition, class_size = shared.value
+        for batch in batches:
+            own = class_of[batch.column("tokens").flatten().to_numpy(zero_copy_only=False)]
+            before = np.concatenate([own[-1:], own[:-1]])
+            lengths = batch.column("n_tokens").to_numpy(zero_copy_only=False)
+            class_part = segment_sums(transition[before, own] - class_size[own], lengths)
+            yield pa.record_batch([*[batch.column(c) for c in kept], pa.array(class_part)], [*kept, "class_part"])
+
+    schema = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, logs double, row bigint, class_part double"
+    classed = parts.select(*kept, "tokens").mapInArrow(classes, schema)
     entries = parts.select("row", F.inline(F.arrays_zip(F.col("rare").alias("word"), F.col("times").alias("times"))))
     sums = (
         entries.join(counts, "word")
         .groupBy("row")
         .agg(F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("rare_logs"), F.sum("times").alias("rare_known"))
     )
-    n_end = math.log10(model.end_count + 1.0)
-    logs = F.col("logs") + F.coalesce("rare_logs", F.lit(0.0)) + F.lit(n_end)
-    return parts.drop("rare", "times").join(sums, "row", "left").select(
+    known = model.lexicon
+    logs = F.col("logs") + F.coalesce("rare_logs", F.lit(0.0)) + F.lit(math.log10(known.end_count + 1.0))
+    return classed.join(sums, "row", "left").select(
         "doc_id", "held_out", "n_tokens",
-        (F.col("n_known") + F.coalesce("rare_known", F.lit(0)) + F.lit(int(model.end_count > 0))).alias("n_known"),
-        F.lit(model.tokens).cast("bigint").alias("train_tokens"),
-        (logs - F.col("n_tokens") * math.log10(model.tokens + model.distinct + 1)).alias("base_score"),
+        (F.col("n_known") + F.coalesce("rare_known", F.lit(0)) + F.lit(int(known.end_count > 0))).alias("n_known"),
+        F.lit(known.tokens).cast("bigint").alias("train_tokens"),
+        (logs - F.col("n_tokens") * math.log10(known.tokens + known.distinct + 1)).alias("base_score"),
         (logs + F.col("class_part")).alias("score"),
     )
 

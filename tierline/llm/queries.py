@@ -48,9 +48,7 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, held_out = documents(spark, sf_dir), id_bucket(7) == 2
-    model, counts = brown_lm.learn(docs.where(~held_out))
-    return brown_lm.score(docs, model, counts, held_out)
+    return brown_lm.learn_and_score(documents(spark, sf_dir), id_bucket(7) == 2)
 
 
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
