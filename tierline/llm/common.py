@@ -93,13 +93,17 @@ def cut_at(data: np.ndarray, limits: np.ndarray, cut: np.ndarray) -> tuple[pa.Ar
 
 
 class Ragged:
-    """Rows of unsigned integers by text key, kept for the life of a Python worker and emptied when ``limit`` is reached.
+    """Rows of unsigned integers by text key, kept for the life of a Python worker.
 
-    ``rows_of(keys)`` is asked once for all keys of a slice that are not known yet.
+    ``rows_of(keys)`` is asked once for all keys of a slice that are not known yet. All is forgotten when there are
+    ``limit`` keys or when keys and rows hold ``limit_bytes``. A slice is bounded, so what is held is at most that and
+    one slice's, whatever the texts: where they have no blanks, a key is as long as a text and is never met again.
     """
 
-    def __init__(self, rows_of: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], limit: int = 1_500_000):
-        self.rows_of, self.limit = rows_of, limit
+    def __init__(
+        self, rows_of: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], limit: int = 1_500_000, limit_bytes: int = 64 << 20
+    ):
+        self.rows_of, self.limit, self.limit_bytes = rows_of, limit, limit_bytes
         self._empty()
 
     def _empty(self) -> None:
@@ -111,7 +115,7 @@ class Ragged:
 
     def numbers(self, keys: pa.Array) -> np.ndarray:
         """The row number of each key; valid until the next call."""
-        if len(self.known) > self.limit:
+        if len(self.known) > self.limit or self.known.nbytes + 4 * self.used > self.limit_bytes:
             self._empty()
         found = pc.index_in(keys, value_set=self.known)
         if not found.null_count:
