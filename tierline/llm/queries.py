@@ -1,4 +1,4 @@
-"""One query per operator over the whole documents table, and SQL where SQL can express it."""
+"""One query per operator over its whole table, and SQL where SQL can express it."""
 
 from __future__ import annotations
 
@@ -16,12 +16,15 @@ from tierline.llm.fingerprint import fingerprint_pairs
 from tierline.llm.language_id import identify, labelled, learn
 from tierline.llm.merkle import audited, tampered_text
 from tierline.llm.near_dedup import near_duplicates
+from tierline.llm.oracle import ORACLE
 from tierline.llm.packing import pack
 from tierline.llm.sentence_pieces import encode_pieces
 from tierline.llm.token_count import token_counts
 from tierline.llm.token_store import token_store
 from tierline.llm.url_filter import judge
 
+__all__ = ["ORACLE", "QUERIES"]
+
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -92,12 +95,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_secret_scan, op9_fingerprints, op10_token_counts, op11_merkle_manifest, op12_conversation_repair, op13_url_filter,
     )
 }
-
-ORACLE: dict[str, str] = {
-    "op1_exact_dedup": """
-        with d as (select doc_id, coalesce(text, '') as text from documents),
-        g as (select text, max(doc_id) as keep_id, count(*) as group_size from d group by text)
-        select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(d.text) as text_sha256
-        from d join g on d.text = g.text
-    """,
-}
