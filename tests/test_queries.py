@@ -15,7 +15,7 @@ SF = "/root/testdata/sf0.001"
 QUERIES, ORACLE = contract.queries(), contract.oracle_sql()
 TYPES = {
     "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN",
-    "date": "DATE", "array<string>": "VARCHAR[]",
+    "date": "DATE", "array<string>": "VARCHAR[]", "timestamp_ntz": "TIMESTAMP",
 }
 
 

@@ -116,13 +116,26 @@ def test_history_columns_go_by_the_header(spark, folder, history):
     assert (row.views, row.likes) == ("7", "1000") and row._source_file and row._landed_at
 
 
-def test_another_header_in_a_later_file_is_an_error(spark, folder, history):
-    root = folder("two-headers")
-    rows = history({"views": "7", "likes": "1000"})
-    for columns in (rows.columns, list(reversed(rows.columns))):
-        rows.select(*columns).coalesce(1).write.mode("append").option("header", True).partitionBy("region").csv(root)
-    with pytest.raises(Exception, match="header"):
-        read_history_csv(spark, root).select("views", "likes").collect()
+def test_every_file_goes_by_its_own_header(spark, folder, history):
+    root = folder("headers")
+    rows = history({"views": "7", "likes": "1000", "video_id": "a"}, {"views": "8", "likes": "2000", "video_id": "b", "region": "gb us"})
+    orders = (rows.columns, list(reversed(rows.columns)), [c for c in rows.columns if c != "dislikes"], [*rows.columns, "video_id as note"])
+    for columns in orders:
+        rows.selectExpr(*columns).coalesce(1).write.mode("append").option("header", True).partitionBy("region").csv(root)
+    read = read_history_csv(spark, root)
+    assert sorted((r.video_id, r.views, r.likes, r.region) for r in read.collect()) == sorted([("a", "7", "1000", "US"), ("b", "8", "2000", "gb us")] * 4)
+    assert sorted((r.dislikes or "", r.note or "") for r in read.collect()) == sorted([("1", "")] * 4 + [("0", "")] * 2 + [("1", "a"), ("1", "b")])
+    assert history_errors(read).collect() == [] and len(shape.conform(read).collect()) == 8
+
+
+def test_rows_of_a_file_that_lacks_a_column_are_errors(spark, folder, history):
+    root = folder("lacking")
+    history({"video_id": "a"}).write.option("header", True).partitionBy("region").csv(root)
+    bad = history({"video_id": "b", "views": "5"}).select("video_id", "views", "region").coalesce(1)
+    bad.write.mode("append").option("header", True).partitionBy("region").csv(root)
+    read = read_history_csv(spark, root)
+    assert [(r.text, r.error) for r in history_errors(read).collect()] == [("b,5", "row does not fit the header")]
+    assert [r.video_id for r in shape.conform(read).collect()] == ["a"]
 
 
 def test_history_rows_that_do_not_fit_are_told(spark, folder):

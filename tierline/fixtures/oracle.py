@@ -297,6 +297,33 @@ sql(
     + ") where items > 0",
 )
 
+sql(
+    "redelivered_intake",
+    PAYLOADS,
+    """select cast(1 as int) as run, cast(sum(l_linenumber % 3) as bigint) as items, count(distinct region) filter (l_linenumber % 3 > 0 and l_partkey % 97 <> 0) as regions
+      from payloads where l_linenumber <= 4
+    union all select 2, coalesce(cast(sum(l_linenumber % 3) as bigint), 0), count(distinct region) filter (l_partkey % 97 <> 0)
+      from payloads where l_linenumber = 5 and region <> 'us'""",
+)
+sql(
+    "footer_profile",
+    SILVER,
+    """select region, count(*) as "rows", """
+    + ", ".join(f"count({c}) as count_{c}" + ("" if c == "video_id" else f", min({c}) as min_{c}, max({c}) as max_{c}")
+                for c in ("video_id", "views", "likes", "comment_count", "engagement_rate"))
+    + " from silver group by region",
+)
+sql(
+    "landing_gap_spans",
+    f"""{PAYLOADS},
+slots as (
+  select region, slot from (select unnest(['us', 'in', 'gb', 'ca', 'de', 'jp']) as region), (select unnest(range(61368)) as slot)),
+missed as (
+  select region, slot, slot - row_number() over (partition by region order by slot) as run from slots
+  where not exists (select 1 from payloads p where p.region = slots.region and slot = floor((epoch(landed_at) - epoch(timestamp '1995-01-01')) / 3600)))""",
+    """select region, timestamp '1995-01-01' + to_hours(cast(min(slot) as int)) as first_missed, timestamp '1995-01-01' + to_hours(cast(max(slot) as int)) as last_missed,
+      count(*) as missed, max(slot) = 61367 as open from missed group by region, run""",
+)
 DAY = r"""case when regexp_matches(trending_date, '^\d{2}\.\d{2}\.\d{2}$') then cast(try_strptime(trending_date, '%y.%d.%m') as date)
   else try_cast(trending_date as date) end"""
 FAULTS = (
@@ -710,6 +737,11 @@ sql(
     GATE_BAD,
     'select "check", "table", "column", value, negative_count, extreme_count from results where not passed',
 )
+sql(
+    "dq_from_states",
+    f"{DEFECTS},\nresults as ({all_checks('defects', WITHOUT_TITLE)})",
+    'select "check", "table", "column", value, negative_count, extreme_count, passed from results',
+)
 # sinks --------------------------------------------------------------------------
 
 sql(
@@ -723,6 +755,12 @@ sql(
     f"select region, count(*) as \"rows\", {big('sum(views + case when region = ' + chr(39) + 'asia' + chr(39) + ' then 1 else 0 end)')} "
     "as views from silver group by region",
 )
+sql(
+    "publish_switch",
+    SILVER,
+    f"""select 'early' as reader, region, count(*) as "rows", {big("sum(views)")} as views from silver group by region
+    union all select 'late', region, count(*), {big("sum(views + case when region = 'asia' then 1 else 0 end)")} from silver group by region""",
+)
 sql(
     "sink_schema_growth",
     SILVER,

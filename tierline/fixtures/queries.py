@@ -16,11 +16,13 @@ from tierline.plans import contracts, quarantine
 from tierline.plans.flow import run_flow
 from tierline.plans.gold import lookup_or_none
 from tierline.plans.silver import SilverCount, cleansed, silver_reference, silver_statistics
+from tierline.plans.states import QualityStates
 from tierline.session import fresh_path
 from tierline.sources import (
     append_partitions,
     envelope_errors,
     grow_table,
+    publish,
     read_envelopes,
     read_history_csv,
     read_landed_text,
@@ -31,7 +33,9 @@ from tierline.sources import (
     replace_partitions,
     restrict_regions,
 )
+from tierline.sources import footers
 from tierline.streaming import merge_snapshots, read_stored, run_increment, take_in
+from tierline.streaming.intake import clear_pending, pending_partitions
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -193,6 +197,30 @@ def incremental_ingest(spark, sf_dir):
     )
 
 
+@query
+def redelivered_intake(spark, sf_dir):
+    """What each of two runs took in and touched, where the second finds half of the payloads again and some new ones."""
+    root, silver, checkpoint, touched = (fresh_path(spark, x) for x in ("again", "again-silver", "again-checkpoint", "again-touched"))
+    told = []
+    for run, portion in ((1, "l_linenumber <= 4"), (2, "l_linenumber in (1, 2, 5) and region <> 'us' or l_linenumber <= 2")):
+        landing.land(d.stamped(spark, sf_dir).where(portion).drop("l_linenumber"), root)
+        done = take_in(spark, root, silver, checkpoint, d.AS_OF, touched_path=touched, redelivered_within="30 days")
+        days = pending_partitions(spark, touched)
+        regions = 0 if days is None else days.select("region").distinct().count()
+        told.append((run, sum(c.get("rows_read", 0) for c in done), regions))
+        clear_pending(spark, touched)
+    return spark.createDataFrame(told, "run int, items bigint, regions bigint")
+
+
+@query
+def footer_profile(spark, sf_dir):
+    """Rows, counts and extremes of stored Silver by region, from footers alone."""
+    columns, by = ("video_id", "views", "likes", "comment_count", "engagement_rate"), ("region",)
+    rows = _silver(spark, sf_dir).select(*columns, *by)
+    path = d.once(spark, "footers", sf_dir, lambda p: replace_partitions(rows, p))
+    return footers.profile(spark, path, rows.schema, columns, by)
+
+
 SILVER_COLUMNS = (*contracts.STATISTICS_COLUMNS, "trending_date_parsed", "like_ratio", "engagement_rate")
 
 
@@ -327,6 +355,14 @@ def landing_gaps(spark, sf_dir):
 # projection and shape -------------------------------------------------------
 
 
+@query
+def landing_gap_spans(spark, sf_dir):
+    """Runs of missed hourly landings of six regions, one of which never landed, over seven years."""
+    landed = d.payloads(spark, sf_dir).select("region", F.try_to_timestamp("landed").alias("landed"))
+    regions = ("us", "in", "gb", "ca", "de", "JP ")
+    return landing.landing_gap_spans(regions, landed, datetime(1995, 1, 1), datetime(2001, 12, 31, 23), 1)
+
+
 @query
 def explode_items(spark, sf_dir):
     return shape.explode_items(d.payloads(spark, sf_dir)).select(
@@ -773,6 +809,19 @@ def dq_failures(spark, sf_dir):
     return failed.select("check", "table", "column", "value", "negative_count", "extreme_count")
 
 
+@query
+def dq_from_states(spark, sf_dir):
+    """All checks of a table with defects, merged in two batches, from the states that each batch brought up to date."""
+    table, states_path = fresh_path(spark, "stated"), fresh_path(spark, "states")
+    rows = _with_defects(spark, sf_dir)
+    for portion in ("video_id < '2'", "video_id >= '2'"):
+        touched = merge_snapshots(rows.where(portion), table)
+        stored = read_stored(spark, table)
+        states = QualityStates(spark, states_path, STATS, stored.schema, contracts.QUALITY_RULES[STATS])
+        states.update(stored, touched)
+    return states.results(d.AS_OF).select("check", "table", "column", "value", "negative_count", "extreme_count", "passed")
+
+
 # sinks ----------------------------------------------------------------------
 
 
@@ -801,6 +850,19 @@ def sink_dynamic_overwrite(spark, sf_dir):
     return _region_counts(spark.read.parquet(path))
 
 
+@query
+def publish_switch(spark, sf_dir):
+    """A table of which one region is replaced, seen by a reader that planned before the switch and by one after it."""
+    root = fresh_path(spark, "published")
+    name, rows = _table_name(root), _narrow_silver(spark, sf_dir)
+    publish(rows, name, root)
+    early = _region_counts(spark.table(name).where("region is not null")).withColumn("reader", F.lit("early"))
+    early._jdf.queryExecution().executedPlan()  # a condition on partitions has them listed now
+    publish(spark.table(name).where("region = 'asia'").withColumn("views", F.col("views") + 1), name, root)
+    seen = spark.createDataFrame(early.collect(), early.schema)  # a row for each region; another plan would list anew
+    return seen.unionByName(_region_counts(spark.table(name)).withColumn("reader", F.lit("late")))
+
+
 @query
 def sink_schema_growth(spark, sf_dir):
     path = fresh_path(spark, "grow")

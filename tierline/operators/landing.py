@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierline.functions import clean_region
@@ -56,3 +56,36 @@ def landing_gaps(expected: Iterable[str], landed: DataFrame) -> DataFrame:
         F.when(F.col("payloads") > 0, "success").otherwise("failed").alias("status"),
         F.coalesce("payloads", F.lit(0)).alias("payloads"),
     )
+
+
+def landing_gap_spans(expected: Iterable[str], landed: DataFrame, first: datetime, last: datetime, every_hours: int = 1) -> DataFrame:
+    """One row per run of scheduled landings that a region missed: the first and last of them, and how many there are.
+
+    The schedule has a slot every ``every_hours`` from ``first`` to ``last``; a payload counts for the slot that its
+    ``landed`` time lies in. Payloads become one row per region and slot before they meet the schedule, which has a row
+    for each region and slot whatever has landed. Missed slots that follow each other differ from their rank by the same
+    number. ``open`` runs have not ended with the schedule; a region that never landed has one run.
+    """
+    spark = landed.sparkSession
+    codes = sorted({r.strip().lower() for r in expected})
+    if every_hours < 1 or last < first:
+        raise ValueError("the schedule has no slot")
+    step = every_hours * 3600
+    begin, end = (int(t.replace(tzinfo=UTC).timestamp()) for t in (first, last))
+    slots = (end - begin) // step + 1
+    # one region's slots are made in its own row, so the schedule is dealt out by region and never collected
+    wanted = spark.range(1).select(F.explode(F.array(*[F.lit(c) for c in codes])).alias("region"))
+    wanted = wanted.select("region", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))).alias("slot"))
+    at = F.unix_timestamp("landed") - F.lit(begin)
+    arrived = landed.select(clean_region(F.col("region")).alias("region"), F.floor(at / step).cast("int").alias("slot"))
+    arrived = arrived.where(F.col("slot").between(0, slots - 1)).distinct()
+    missed = wanted.join(arrived, ["region", "slot"], "left_anti")
+    rank = F.row_number().over(Window.partitionBy("region").orderBy("slot"))
+    runs = missed.withColumn("_run", F.col("slot") - rank).groupBy("region", "_run").agg(
+        F.min("slot").alias("from"), F.max("slot").alias("to"), F.count(F.lit(1)).alias("missed")
+    )
+    time = lambda slot: F.timestamp_seconds(F.lit(begin) + F.col(slot) * step).cast("timestamp_ntz")
+    return runs.select(
+        "region", time("from").alias("first_missed"), time("to").alias("last_missed"), "missed",
+        (F.col("to") == slots - 1).alias("open"),
+    )

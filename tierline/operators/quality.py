@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from datetime import datetime
 from functools import reduce
 
@@ -146,6 +146,13 @@ class _Plan:
 CHECKS = ("row_count", "null_pct", "schema", "value_range", "freshness")
 
 
+def _plan(empty: DataFrame, table: str, as_of: datetime | None, rules: QualityRules | None, checks: Iterable[str]) -> _Plan:
+    plan = _Plan(empty, table, rules or QUALITY_RULES.get(table, QualityRules(critical=())), as_of)
+    for check in checks:
+        getattr(plan, check)()
+    return plan
+
+
 def run_checks(
     df: DataFrame,
     table: str,
@@ -154,9 +161,7 @@ def run_checks(
     checks: Iterable[str] = CHECKS,
 ) -> DataFrame:
     """The named checks over the whole table, in one pass; checks of the schema alone need no scan."""
-    plan = _Plan(df, table, rules or QUALITY_RULES.get(table, QualityRules(critical=())), as_of)
-    for check in checks:
-        getattr(plan, check)()
+    plan = _plan(df, table, as_of, rules, checks)
     parts = []
     if plan.constants:
         parts.append(df.sparkSession.range(1).select(F.inline(F.array(*plan.constants))))
@@ -165,6 +170,30 @@ def run_checks(
     return reduce(DataFrame.unionByName, parts) if parts else df.sparkSession.createDataFrame([], RESULT)
 
 
+def check_states(
+    df: DataFrame, table: str, by: Sequence[str], rules: QualityRules | None = None, checks: Iterable[str] = CHECKS
+) -> DataFrame:
+    """What the checks count, for each value of ``by``: counts and latest stamps, which add up over parts of a table."""
+    return df.groupBy(*by).agg(*_plan(df, table, None, rules, checks).aggregates)
+
+
+def checks_from_states(
+    states: DataFrame, schema: T.StructType, table: str, as_of: datetime | None = None, rules: QualityRules | None = None,
+    checks: Iterable[str] = CHECKS,
+) -> DataFrame:
+    """The same as ``run_checks`` on a table with ``schema`` whose ``check_states`` are given; no row of it is read."""
+    spark = states.sparkSession
+    plan = _plan(spark.createDataFrame([], schema), table, as_of, rules, checks)
+    parts = [spark.range(1).select(F.inline(F.array(*plan.constants)))] if plan.constants else []
+    if plan.results:
+        kinds = {f.name: f.dataType for f in states.schema.fields}
+        counted = [c for c in kinds if isinstance(kinds[c], T.LongType) and c not in schema.names]
+        whole = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counted]
+        whole += [F.max(c).alias(c) for c in kinds if isinstance(kinds[c], T.TimestampType) and c not in schema.names]
+        parts.append(states.agg(*whole).select(F.inline(F.array(*plan.results))))
+    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], RESULT)
+
+
 def unreadable_table(spark: SparkSession, table: str, reason: str) -> DataFrame:
     failed = _result(
         check=F.lit("read_table"), table=F.lit(table), passed=F.lit(False), message=F.lit(reason)

@@ -1,5 +1,6 @@
 """Readers and writers."""
 
+from tierline.sources.publish import publish, superseded, switch
 from tierline.sources.readers import (
     capture_envelopes,
     envelope_errors,
@@ -20,6 +21,7 @@ __all__ = [
     "envelope_errors",
     "grow_table",
     "history_errors",
+    "publish",
     "read_envelopes",
     "read_history_csv",
     "read_landed_text",
@@ -29,4 +31,6 @@ __all__ = [
     "register_table",
     "replace_partitions",
     "restrict_regions",
+    "superseded",
+    "switch",
 ]

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
+from functools import reduce
 
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamReader
@@ -20,6 +22,7 @@ from tierline.plans.contracts import (
     LANDED_AT,
     LANDING_PARTITIONS,
     SOURCE_FILE,
+    STATISTICS,
 )
 
 WRITTEN_AT = "_written_at"
@@ -68,33 +71,70 @@ def capture_envelopes(reader: DataFrameReader | DataStreamReader, root: str, one
     )
 
 
+def is_unusable() -> Column:
+    """Does nothing of an envelope reach the items?"""
+    return F.col(CORRUPT).isNotNull() | F.col("items").isNull()
+
+
 def envelope_errors(envelopes: DataFrame) -> DataFrame:
     """One row per envelope that can't be used, with its file, the reason and its text as far as it was kept."""
     reason = F.when(F.col(CORRUPT).isNotNull(), "not valid JSON").when(F.col("items").isNull(), "no items")
     return envelopes.select(SOURCE_FILE, reason.alias("error"), F.col(CORRUPT).alias("text")).where("error is not null")
 
 
+#: Headers read at the same time; a header is the first line of a file.
+HEADERS_AT_ONCE = 16
+
+
+def _by_header(spark: SparkSession, root: str, layout: dict[str, object]) -> dict[tuple[str, ...], list[str]]:
+    """The files below ``root`` by the names in their first line. Of the files only that line is read, of empty ones nothing."""
+    # this source reads no content unless it is asked for
+    listed = spark.read.format("binaryFile").load(root).where("length > 0").select("path").collect()
+    files = sorted(r.path for r in listed)
+    with ThreadPoolExecutor(HEADERS_AT_ONCE) as pool:
+        headers = list(pool.map(lambda file: tuple(spark.read.options(**layout).csv(file).columns), files))
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for header, file in zip(headers, files):
+        groups.setdefault(header, []).append(file)
+    return groups
+
+
 def read_history_csv(spark: SparkSession, root: str, multi_line: bool = True) -> DataFrame:
     """Historical snapshots; all values are text, the region comes from the path.
 
-    Columns are bound by the header of the first file; a file whose header has another order is an error, not a row
-    of exchanged values. A row that doesn't fit stays with its text in ``_corrupt_record``; see ``history_errors``.
-    The file and the time it was last written are the row's origin.
+    Each file's columns are bound by its own header, whatever their order. Optional columns that a file lacks take their
+    defaults, others that only some files have are null for the rest. A row that doesn't fit its header stays with its
+    text in ``_corrupt_record``, as do all rows of a file whose header lacks a column that snapshots can't do without; see
+    ``history_errors``. The file and the time it was last written are the row's origin.
 
     Descriptions may hold line breaks, hence ``multi_line``; it keeps a file in one task, so switch it off where the
     files are known to be free of them.
     """
     layout = {"header": True, "quote": '"', "escape": '"', "multiLine": multi_line}
     known = {f.name.lower(): f.name for f in HISTORY.fields}
-    header = [c for c in spark.read.options(**layout).csv(root).columns if c.lower() != "region"]
-    names = [known.get(c.strip().lower(), c) for c in header]
-    fields = [T.StructField(n, T.StringType()) for n in (*names, CORRUPT, "region")]
-    rows = spark.read.schema(T.StructType(fields)).options(
-        **layout, enforceSchema=False, columnNameOfCorruptRecord=CORRUPT
-    )
-    return rows.csv(root).withColumns(
-        {LANDED_AT: F.col("_metadata.file_modification_time"), SOURCE_FILE: F.col("_metadata.file_path")}
-    )
+    needed = {f.name for f in STATISTICS if not f.optional} - {"region"}
+    parts = []
+    for header, files in _by_header(spark, root, layout).items():
+        names = [known.get(c.strip().lower(), c.strip()) for c in header]
+        names = ["_region_in_file" if n.lower() == "region" else n for n in names]
+        fits = needed <= set(names) and len(set(names)) == len(names)
+        if not fits:
+            names = [f"_c{i}" for i in range(len(names))]
+        fields = [T.StructField(n, T.StringType()) for n in (*names, CORRUPT, "region")]
+        # these files have these names in this order, so places are enough
+        rows = spark.read.schema(T.StructType(fields)).options(**layout, columnNameOfCorruptRecord=CORRUPT, basePath=root).csv(files)
+        if not fits:
+            whole = F.coalesce(F.col(CORRUPT), F.concat_ws(",", *[F.coalesce(n, F.lit("")) for n in names]))
+            rows = rows.select(whole.alias(CORRUPT), "region", "_metadata")
+        else:
+            absent = {f.name: f.default for f in STATISTICS if f.name not in (*names, "region")}
+            rows = rows.withColumns({n: F.lit(None if v is None else str(v)).cast("string") for n, v in absent.items()})
+        origin = {LANDED_AT: F.col("_metadata.file_modification_time"), SOURCE_FILE: F.col("_metadata.file_path")}
+        parts.append(rows.withColumns(origin).drop("_metadata", "_region_in_file"))
+    if not any(HISTORY.names[0] in p.columns for p in parts):  # the columns are there without a file that fits
+        texts = T.StructType([*HISTORY.fields, T.StructField(CORRUPT, T.StringType()), T.StructField("region", T.StringType())])
+        parts.append(spark.createDataFrame([], texts.add(LANDED_AT, "timestamp").add(SOURCE_FILE, "string")))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def history_errors(rows: DataFrame) -> DataFrame:

@@ -2,22 +2,25 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import types as T
 
 from tierline.plans.lattice import merged_schema
 
+#: Partitions named in one statement.
+AT_ONCE = 200
 
-def _laid_out(df: DataFrame, by: Sequence[str]) -> DataFrame:
+
+def laid_out(df: DataFrame, by: Sequence[str]) -> DataFrame:
     """Few files per partition value: rows meet by value, and AQE splits values that are too big."""
     return df.hint("rebalance", *by)
 
 
 def append_partitions(df: DataFrame, path: str, by: Sequence[str] = ("region",)) -> None:
     """Adds files; running it twice doubles the rows."""
-    _laid_out(df, by).write.mode("append").partitionBy(*by).option("compression", "snappy").parquet(path)
+    laid_out(df, by).write.mode("append").partitionBy(*by).option("compression", "snappy").parquet(path)
 
 
 def replace_partitions(df: DataFrame, path: str, by: Sequence[str] = ("region",)) -> None:
@@ -26,7 +29,7 @@ def replace_partitions(df: DataFrame, path: str, by: Sequence[str] = ("region",)
     ``df`` must not read from ``path``.
     """
     (
-        _laid_out(df, by)
+        laid_out(df, by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*by)
@@ -35,20 +38,50 @@ def replace_partitions(df: DataFrame, path: str, by: Sequence[str] = ("region",)
     )
 
 
-def _column_list(schema: T.StructType) -> str:
+def column_list(schema: T.StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
 
-def register_table(
-    spark: SparkSession, name: str, path: str, schema: T.StructType, by: Sequence[str] = ("region",)
-) -> None:
-    """Makes the Parquet folder queryable under ``name`` and picks up its partitions."""
+def sql_literal(value: object) -> str:
+    return "NULL" if value is None else "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def partition_spec(row: Row, by: Sequence[str]) -> str:
+    return f"PARTITION ({', '.join(f'`{c}` = {sql_literal(row[c])}' for c in by)})"
+
+
+def in_batches(rows: list[Row]) -> Iterator[list[Row]]:
+    for i in range(0, len(rows), AT_ONCE):
+        yield rows[i : i + AT_ONCE]
+
+
+def declare_table(spark: SparkSession, name: str, path: str, schema: T.StructType, by: Sequence[str]) -> None:
+    """A table over Parquet folders, as yet without partitions; nothing happens where ``name`` is known."""
     partitions = ", ".join(f"`{c}`" for c in by)
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} ({_column_list(schema)}) USING parquet "
-        f"PARTITIONED BY ({partitions}) LOCATION '{path}'"
+        f"CREATE TABLE IF NOT EXISTS {name} ({column_list(schema)}) USING parquet PARTITIONED BY ({partitions}) LOCATION '{path}'"
     )
-    spark.sql(f"MSCK REPAIR TABLE {name}")
+
+
+def add_partitions(spark: SparkSession, name: str, touched: DataFrame, by: Sequence[str]) -> None:
+    """Makes the folders of ``touched``, one row for each partition, part of the table; those that are already stay.
+
+    Statements grow with the partitions a run touched, not with those of the table.
+    """
+    for rows in in_batches(touched.select(*by).distinct().collect()):
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(partition_spec(r, by) for r in rows)}")
+    spark.catalog.refreshTable(name)
+
+
+def register_table(
+    spark: SparkSession, name: str, path: str, schema: T.StructType, by: Sequence[str] = ("region",), touched: DataFrame | None = None
+) -> None:
+    """Makes the Parquet folder queryable under ``name`` and picks up its partitions: those in ``touched``, else all."""
+    declare_table(spark, name, path, schema, by)
+    if touched is None:
+        spark.sql(f"MSCK REPAIR TABLE {name}")
+    else:
+        add_partitions(spark, name, touched, by)
 
 
 def grow_table(spark: SparkSession, name: str, schema: T.StructType) -> list[str]:
@@ -70,5 +103,5 @@ def grow_table(spark: SparkSession, name: str, schema: T.StructType) -> list[str
         spark.sql(f"DROP TABLE {name}")
         register_table(spark, name, path, merged, by)
     elif added:
-        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({_column_list(T.StructType(added))})")
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({column_list(T.StructType(added))})")
     return [f.name for f in added] + changed

@@ -12,15 +12,23 @@ from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierline.operators.cleanse import dedup_latest
+from tierline.plans.contracts import CORRUPT, EXTRA
 from tierline.plans.lattice import merged_schema
 from tierline.plans.silver import SilverCount
 from tierline.session import fresh_path
-from tierline.sources.readers import capture_envelopes, envelope_errors, envelope_options, envelope_schema, with_origin
+from tierline.sources.readers import (
+    capture_envelopes,
+    envelope_errors,
+    envelope_options,
+    envelope_schema,
+    is_unusable,
+    with_origin,
+)
 from tierline.sources.writers import replace_partitions
 
 SILVER_PARTITIONS = ("region", "trending_date_parsed")
@@ -136,6 +144,18 @@ def clear_pending(spark: SparkSession, path: str) -> None:
     spark.createDataFrame([], "region string, trending_date_parsed date").write.mode("overwrite").parquet(path)
 
 
+def without_redeliveries(envelopes: DataFrame, within: str) -> DataFrame:
+    """A stream without envelopes that it already had ``within`` a time before, whatever files they come in.
+
+    An envelope is known by the digest of its items and stamp, and remembered from when it was taken in. That time only
+    grows, so no envelope is ever too late and dropped for it. What was not JSON is known by its text. The memory holds
+    a digest for each envelope of that time, dealt over the tasks of the state.
+    """
+    told = F.to_json(F.struct("region", "date", "hour", "items", "_pipeline_metadata", *[c for c in (CORRUPT, EXTRA) if c in envelopes.columns]))
+    known = envelopes.withColumns({"_told": F.sha2(told, 256), "_taken_in": F.current_timestamp()})
+    return known.withWatermark("_taken_in", within).dropDuplicatesWithinWatermark(["_told"]).drop("_told", "_taken_in")
+
+
 def take_in(
     spark: SparkSession,
     landing_root: str,
@@ -147,15 +167,18 @@ def take_in(
     touched_path: str | None = None,
     capture: bool = False,
     clean: Callable[[DataFrame, int], DataFrame] | None = None,
+    redelivered_within: str | None = None,
 ) -> list[dict[str, int]]:
     """Takes in what landed since the last run and gives the counts of each batch. No new files, no batch, no write.
 
     ``files_per_batch`` bounds a batch when a backlog is taken in. All that belongs to the stream lies below
     ``checkpoint``: its progress, ``merged`` with the staging of the last two batches, ``errors`` with the unusable
-    envelopes of each batch. So a reset of the stream resets them too. The region-days that a batch touched are added
+    envelopes of each batch that has some. So a reset of the stream resets them too. The region-days that a batch touched are added
     below ``touched_path`` before the batch counts as done; see ``pending_partitions``. With ``capture``, what payloads
     hold outside the contract is kept in ``_extra``; else only what the contract names is read. ``clean`` makes Silver
-    rows of the conformed rows of a batch, given its number, where that is not the usual way.
+    rows of the conformed rows of a batch, given its number, where that is not the usual way. Envelopes
+    that come again in other files ``redelivered_within`` a time (such as ``7 days``) are left out before anything is
+    merged, so they touch no region-day; without it they are merged, which changes no row.
     """
     reader = spark.readStream
     if files_per_batch is not None:
@@ -164,11 +187,15 @@ def take_in(
     run = uuid.uuid4().hex
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        envelope_errors(batch).write.mode("overwrite").parquet(f"{checkpoint}/errors/batch={batch_id}")
         staging = f"{checkpoint}/merged"
         repeated = is_merged(spark, staging, batch_id)  # then it is applied without being counted again
-        count = SilverCount(batch, as_of, None if clean is None else lambda rows: clean(rows, batch_id))
+        bad = Observation()
+        seen = batch.observe(bad, F.count_if(is_unusable()).alias("envelopes"))
+        count = SilverCount(seen, as_of, None if clean is None else lambda rows: clean(rows, batch_id))
         touched = merge_snapshots(count.silver, silver_path, staging, batch_id)
+        # a batch is read again for its errors only when it has some
+        if repeated or bad.get["envelopes"]:
+            envelope_errors(batch).write.mode("overwrite").parquet(f"{checkpoint}/errors/batch={batch_id}")
         if touched_path is not None:
             add_pending(touched, touched_path, f"{run}-{batch_id}")
         done.append({} if repeated else count.counts())
@@ -178,6 +205,8 @@ def take_in(
     else:
         typed = reader.schema(envelope_schema()).options(**envelope_options(one_per_file))
         envelopes = with_origin(typed.json(landing_root))
+    if redelivered_within is not None:
+        envelopes = without_redeliveries(envelopes, redelivered_within)
     query = (
         envelopes
         .writeStream.foreachBatch(merge)
