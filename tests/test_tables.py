@@ -15,7 +15,7 @@ from tierline.plans.flow import Run, run_flow
 from tierline.plans.silver import silver_statistics
 from tierline.operators.landing import land
 from tierline.sources import append_partitions, grow_table, read_envelopes, read_reference, register_table, replace_partitions
-from tierline.streaming import merge_snapshots, run_increment
+from tierline.streaming import intake_errors, merge_snapshots, run_increment
 from tierline.streaming.intake import in_partitions
 
 SF = "/root/testdata/sf0.001"
@@ -215,7 +215,18 @@ def test_indented_responses_stream_as_they_read(spark, folder):
     run_increment(spark, root, silver, checkpoint, d.AS_OF, one_per_file=True)
     whole = read_envelopes(spark, root, one_per_file=True)
     assert rows(spark.read.parquet(silver)) == rows(silver_statistics(whole, d.AS_OF))
-    assert spark.read.parquet(f"{checkpoint}/errors").count() == whole.where("items is null").count()
+    assert intake_errors(spark, checkpoint).count() == len([r for r in whole.collect() if r["items"] is None])
+
+
+def test_unusable_envelopes_of_a_batch_are_kept(spark, folder):
+    root, silver, checkpoint = folder("root"), folder("silver"), folder("ckpt")
+    land(d.stamped(spark, SF).where("l_orderkey % 50 = 0").drop("l_linenumber"), root)
+    run_increment(spark, root, silver, checkpoint, d.AS_OF)
+    assert intake_errors(spark, checkpoint).count() == 0
+    texts = spark.createDataFrame([("not json", "us", 1), ('{"kind": "x"}', "us", 1)], "value string, region string, hour int")
+    texts.withColumn("date", F.lit("2021-01-01")).coalesce(1).write.mode("append").partitionBy("region", "date", "hour").text(root)
+    run_increment(spark, root, silver, checkpoint, d.AS_OF)
+    assert sorted((r.batch, r.error) for r in intake_errors(spark, checkpoint).collect()) == [(1, "no items"), (1, "not valid JSON")]
 
 
 def test_only_touched_days_of_gold_are_rebuilt(spark, folder):

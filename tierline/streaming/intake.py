@@ -144,6 +144,13 @@ def clear_pending(spark: SparkSession, path: str) -> None:
     spark.createDataFrame([], "region string, trending_date_parsed date").write.mode("overwrite").parquet(path)
 
 
+def intake_errors(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The unusable envelopes of all batches of a stream, with the number of their batch."""
+    schema = "_source_file string, error string, text string, batch bigint"
+    found = _exists(lambda: spark.read.schema(schema).parquet(f"{checkpoint}/errors"))
+    return spark.createDataFrame([], schema) if found is None else found
+
+
 def without_redeliveries(envelopes: DataFrame, within: str) -> DataFrame:
     """A stream without envelopes that it already had ``within`` a time before, whatever files they come in.
 
