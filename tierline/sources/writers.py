@@ -30,9 +30,13 @@ def replace_partitions(df: DataFrame, path: str, by: Sequence[str] = ("region",)
 
     ``df`` must not read from ``path``.
     """
+    replace_laid_out(laid_out(df, by), path, by)
+
+
+def replace_laid_out(df: DataFrame, path: str, by: Sequence[str]) -> None:
+    """As ``replace_partitions``, for rows of which few tasks hold the same partition already; they are not moved."""
     (
-        laid_out(df, by)
-        .write.mode("overwrite")
+        df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*by)
         .option("compression", CODEC)

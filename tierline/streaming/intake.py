@@ -29,9 +29,12 @@ from tierline.sources.readers import (
     is_unusable,
     with_origin,
 )
-from tierline.sources.writers import CODEC, replace_partitions
+from tierline.sources.writers import CODEC, laid_out
+from tierline.sources.writers import replace_laid_out as replace_partitions
 
 SILVER_PARTITIONS = ("region", "trending_date_parsed")
+#: Rows of a region-day that one task merges.
+PORTION = 500_000
 #: A folder below a table, unseen by readers, with the union of all schemas that were merged into it.
 SCHEMA_NOTE = "_schema"
 #: What a finished merge notes: its key and which of its staged folders holds the result.
@@ -91,6 +94,22 @@ def one_of(column: str, values: list, with_null: bool | None) -> Column:
     return listed | F.col(column).isNull() if with_null else listed
 
 
+def newest_by_day(rows: DataFrame) -> DataFrame:
+    """The newest copy of each snapshot, where the copies of a snapshot are few, with the rows of a region-day in few tasks.
+
+    Copies meet and partitions are laid out in one shuffle of the rows. A region-day is one portion of it, and one with
+    more than ``PORTION`` rows is dealt by video into several; only these few are looked up.
+    """
+    region, day = SILVER_PARTITIONS
+    crowded = rows.groupBy(F.col(region).alias("_region"), F.col(day).alias("_day")).agg(F.count(F.lit(1)).alias("_rows"))
+    crowded = crowded.where(F.col("_rows") > PORTION).withColumn("_portions", F.ceil(F.col("_rows") / PORTION))
+    there = F.col(region).eqNullSafe(F.col("_region")) & F.col(day).eqNullSafe(F.col("_day"))
+    portion = F.pmod(F.hash("video_id"), F.coalesce(F.col("_portions"), F.lit(1)))
+    dealt = rows.join(F.broadcast(crowded), there, "left").withColumn("_portion", portion)
+    dealt = dealt.select(*rows.columns, "_portion").repartition(*SILVER_PARTITIONS, "_portion")
+    return dedup_latest(dealt, key=(*SILVER_PARTITIONS, "_portion", "video_id")).drop("_portion")
+
+
 def is_merged(spark: SparkSession, staging: str, key: int) -> bool:
     """Is the merge of the batch ``key`` finished in ``staging``?"""
     done = _exists(lambda: spark.read.schema("key bigint").parquet(f"{staging}/{key % 2}-finished"))
@@ -110,7 +129,9 @@ def merge_snapshots(batch: DataFrame, path: str, staging: str | None = None, key
     staging = staging or fresh_path(spark, "merged")
     slot = f"{staging}/{key % 2}"
     if not is_merged(spark, staging, key):
-        batch.write.mode("overwrite").option("compression", CODEC).parquet(f"{slot}-batch")
+        # neighbours that share region and day are stored, and shuffled later, in fewer bytes
+        sorted_batch = batch.sortWithinPartitions(*SILVER_PARTITIONS, "video_id")
+        sorted_batch.write.mode("overwrite").option("compression", CODEC).parquet(f"{slot}-batch")
         fresh = spark.read.schema(batch.schema).parquet(f"{slot}-batch")
         fresh.select(*SILVER_PARTITIONS).distinct().write.mode("overwrite").parquet(f"{slot}-touched")
         touched, known = spark.read.parquet(f"{slot}-touched"), stored_schema(spark, path)
@@ -118,15 +139,18 @@ def merge_snapshots(batch: DataFrame, path: str, staging: str | None = None, key
         fresh = fresh.select(*[F.col(f.name).cast(schema[f.name].dataType) for f in batch.schema.fields])
         if known is not None:
             stored = in_partitions(spark.read.schema(schema).parquet(path), touched)
-            fresh = dedup_latest(stored.unionByName(fresh, allowMissingColumns=True))
-            fresh.write.mode("overwrite").option("compression", CODEC).parquet(f"{slot}-merged")
+            rows = newest_by_day(stored.unionByName(fresh, allowMissingColumns=True))
+            merged = rows.write.mode("overwrite").partitionBy(*SILVER_PARTITIONS).option("compression", CODEC)
+            merged.parquet(f"{slot}-merged")
         if known != schema:
             note_schema(spark, path, schema)
         done = [(key, "batch" if known is None else "merged")]
         spark.createDataFrame(done, FINISHED).write.mode("overwrite").parquet(f"{slot}-finished")
     schema = stored_schema(spark, path) or batch.schema
     result = spark.read.schema(FINISHED).parquet(f"{slot}-finished").first().result or "merged"
-    replace_partitions(spark.read.schema(schema).parquet(f"{slot}-{result}"), path, SILVER_PARTITIONS)
+    staged = spark.read.schema(schema).parquet(f"{slot}-{result}")
+    # a merge is staged in the folders of its region-days and only copied; a batch still has to be laid out
+    replace_partitions(staged if result == "merged" else laid_out(staged, SILVER_PARTITIONS), path, SILVER_PARTITIONS)
     return spark.read.parquet(f"{slot}-touched")
 
 
