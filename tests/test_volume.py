@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from tierline.fixtures import derive as d
 from tierline.fixtures.queries import QUERIES
 from tierline.operators.landing import land
-from tierline.plans.silver import silver_statistics
+from tierline.operators import cleanse, shape
+from tierline.plans.silver import cleansed, newest, silver_statistics
 from tierline.sources import read_envelopes
 from tierline.streaming import intake, merge_snapshots
 
@@ -60,3 +61,42 @@ def test_input_used_again_is_joined_once(spark, monkeypatch, name):
     monkeypatch.setattr(d, "_paths", {})
     QUERIES[name](spark, SF)
     assert len(joined) == 1
+
+
+def test_payloads_are_made_after_lines_are_laid_out(spark, folder):
+    plan = d.stamped(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    made, laid = plan.split("RebalancePartitions")
+    assert "channelTitle" in made and "channelTitle" not in laid
+    roots = folder("placed"), folder("moved")
+    for root, placed in zip(roots, (True, False)):
+        land(d.stamped(spark, SF).drop("l_linenumber"), root, placed)
+    told = lambda root: sorted(r.t for r in read_envelopes(spark, root).select(F.to_json(F.struct("items", "_pipeline_metadata", "region", "date", "hour")).alias("t")).collect())
+    assert told(roots[0]) == told(roots[1])
+
+
+def test_copies_that_go_are_not_completed(spark):
+    raw = d.snapshots(spark, SF)
+    plan = silver_statistics(raw, datetime(2021, 1, 1))._jdf.queryExecution().optimizedPlan().toString()
+    above, below = plan.split("Window ", 1)
+    assert all(made in above and made not in below for made in ("like_ratio", "_job_name"))
+    rows = cleanse.zero_fill(cleanse.parse_trending_date(cleanse.normalise_region(cleanse.drop_null_key(shape.conform(raw)))))
+    at = datetime(2021, 1, 1)
+    told = lambda df: sorted(r.t for r in df.select(F.to_json(F.struct(*sorted(df.columns))).alias("t")).collect())
+    for latest in (("views", "likes"), ("engagement_rate", "views")):
+        assert told(newest(rows, at, latest)) == told(cleanse.dedup_latest(cleansed(shape.conform(raw), at), latest))
+
+
+def test_a_merge_moves_rows_once_and_splits_crowded_days(spark, history, folder, monkeypatch):
+    monkeypatch.setattr(intake, "PORTION", 3)
+    rows = lambda *of: silver_statistics(history(*of), datetime(2021, 1, 1))
+    path, staging = folder("once-moved"), folder("once-moved-staging")
+    old = [{"video_id": f"v{i}", "views": "1"} for i in range(20)] + [{"video_id": "n", "region": None, "views": "1"}, {"video_id": "d", "trending_date": "n/a", "views": "1"}]
+    new = [{"video_id": f"v{i}", "views": "2"} for i in range(10, 30)] + [{"video_id": "n", "region": None, "views": "2"}, {"video_id": "d", "trending_date": "n/a", "views": "2"}]
+    merge_snapshots(rows(*old), path, staging, 0)
+    merge_snapshots(rows(*new), path, staging, 1)
+    want = {**{f"v{i}": 1 for i in range(10)}, **{f"v{i}": 2 for i in range(10, 30)}, "n": 2, "d": 2}
+    assert sorted((r.video_id, r.views) for r in spark.read.parquet(path).collect()) == sorted(want.items())
+    assert glob.glob(f"{staging}/1-merged/region=us/trending_date_parsed=2*/part-*")
+    plan = intake.newest_by_day(spark.read.parquet(path))._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(moved) == 2 and sum("_portion" in line and "REPARTITION_BY_COL" in line for line in moved) == 1  # the other is of counts

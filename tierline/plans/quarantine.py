@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from tierline.operators import cleanse
 from tierline.operators.flags import FLAGS, STATISTICS_RULES, RowRule, flagged, is_quarantined
-from tierline.plans.silver import JOB_NAME
+from tierline.plans.silver import JOB_NAME, newest
 from tierline.sources.writers import replace_partitions
 from tierline.streaming.intake import merge_snapshots, note_schema, stored_schema
 
@@ -26,7 +26,7 @@ def judged(conformed: DataFrame, rules: Sequence[RowRule] = STATISTICS_RULES) ->
 
 def finished(rows: DataFrame, as_of: datetime | None = None, job_name: str = JOB_NAME) -> DataFrame:
     """Judged rows as Silver has them: counters filled, ratios and audit columns added, the newest copy of each."""
-    return cleanse.dedup_latest(cleanse.audit_columns(cleanse.add_ratios(cleanse.zero_fill(rows)), job_name, as_of))
+    return newest(cleanse.zero_fill(rows), as_of, job_name=job_name)
 
 
 class Quarantine:
