@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import glob
-from datetime import datetime
+import gzip
+import os
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -100,3 +102,69 @@ def test_a_merge_moves_rows_once_and_splits_crowded_days(spark, history, folder,
     plan = intake.newest_by_day(spark.read.parquet(path))._jdf.queryExecution().executedPlan().toString()
     moved = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
     assert len(moved) == 2 and sum("_portion" in line and "REPARTITION_BY_COL" in line for line in moved) == 1  # the other is of counts
+
+
+LINES = (
+    "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+)
+
+
+def some_lines(spark, root):
+    """Line items as a table: of three ranges of orders, one of them cut off, some twice, some with nulls."""
+    day = datetime(1995, 3, 17)
+    rows = [
+        (order, 83 * order + n, 7, n, 2.0 * n, 10.5 * n, "ANR"[n % 3], "FO"[n % 2], day)
+        for order in (1, 2, 97, 5999, 6000, 6001, 18000, 23999, 24000) for n in range(1, 8)
+    ]
+    rows += rows[5:20]
+    rows += [(None, *rows[0][1:]), (*rows[0][:3], None, *rows[0][4:]), (*rows[0][:8], None), (1, None, None, 2, None, None, None, None, day)]
+    spark.createDataFrame(rows, LINES).write.parquet(f"{root}/lineitem.parquet")
+    return root
+
+
+def test_responses_are_made_where_their_lines_have_met(spark, folder, monkeypatch):
+    seen, real = [], d.put_responses
+    monkeypatch.setattr(d, "put_responses", lambda responses, root: seen.append(responses) or real(responses, root))
+    tables = some_lines(spark, folder("some-lines"))
+    root = d.pretty_zone(spark, tables)
+    above, below = seen[0]._jdf.queryExecution().optimizedPlan().toString().split("RepartitionByExpression")
+    assert all(made in above and made not in below for made in ("channelTitle", "named_struct", "yyyy-MM-dd"))
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Exchange") == 1
+    # the same from payloads that are made first
+    place = ("region", "date", "hour")
+    rows = d.stamped_orders(spark, tables).withColumn("part", F.expr("l_orderkey div 6000")).groupBy(*place, "part").agg(
+        F.flatten(F.sort_array(F.collect_list("items"))).alias("items"), F.max("_pipeline_metadata.ingestion_timestamp").alias("landed")
+    )
+    stamp = F.struct("region", F.col("landed").alias("ingestion_timestamp"), F.size("items").cast("bigint").alias("video_count"))
+    text = F.to_json(F.struct("items", stamp.alias("_pipeline_metadata")), {"pretty": "true"})
+    want = rows.select(F.when(F.col("part") % 7 == 3, text.substr(1, 200)).otherwise(text).alias("t")).collect()
+    texts = [gzip.open(f, "rt").read() for f in glob.glob(f"{root}/region=*/date=*/hour=*/*")]
+    assert sorted(texts) == sorted(r.t + "\n" for r in want) and len(texts) > 20
+
+
+@pytest.mark.parametrize("mounted", [True, False])
+def test_each_response_is_a_gzip_file_of_its_own(spark, folder, monkeypatch, mounted):
+    if not mounted:
+        monkeypatch.setattr(d.os.path, "isdir", lambda path: False)
+    root = folder("put")
+    rows = [
+        ("us", date(2021, 1, 1), 0, 1, '{\n "items" : [ {"id" : "\u00e9"} ]\n}'), ("us", date(2021, 1, 1), 0, 2, '{\n "items" : [ ]\n}'),
+        ("us", date(2021, 1, 1), 0, None, '{\n "items" : [ {"id" : "n"}, {} ]\n}'), ("gb", None, None, 3, '{\n "items"'),
+    ]
+    schema = "region string, date date, hour int, part bigint, value string"
+    d.put_responses(spark.createDataFrame(rows, schema), root)
+    monkeypatch.undo()
+    files = [f for f in glob.glob(f"{root}/region=*/date=*/hour=*/*") if os.path.isfile(f)]
+    assert sorted(gzip.open(f, "rt", encoding="utf-8").read() for f in files) == sorted(f"{r[4]}\n" for r in rows)
+    assert all(f.endswith(".gz") for f in files)
+    hidden = [f for folders, _, names in os.walk(f"{root}/region=us") for f in names if f.startswith((".", "_"))]
+    assert not hidden or not mounted
+    read = read_envelopes(spark, root, one_per_file=True).select("region", "date", "hour", F.size("items").alias("n"), F.col("items.id").alias("ids"))
+    assert sorted(map(tuple, read.collect()), key=repr) == sorted(
+        [("us", date(2021, 1, 1), 0, 1, ["\u00e9"]), ("us", date(2021, 1, 1), 0, 0, []), ("us", date(2021, 1, 1), 0, 2, ["n", None]),
+         ("gb", None, None, None, None)], key=repr)
+    nothing = folder("put-nothing")
+    d.put_responses(spark.createDataFrame([], schema), nothing)
+    assert read_envelopes(spark, nothing, one_per_file=True).count() == 0

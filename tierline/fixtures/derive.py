@@ -6,7 +6,9 @@ so the inputs grow with the tables without a shuffle of their own.
 
 from __future__ import annotations
 
+import os
 from datetime import datetime
+from urllib.parse import urlsplit
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -152,33 +154,39 @@ def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """API responses with 0, 1 or 2 items, one per line item, with region and landing time.
-
-    Item k of a line carries the order number, so lines of one order are copies of one video. Lines are laid out by the
-    folders that they land in before payloads are made of them, so no shuffle carries payloads.
-    """
-    item = """named_struct(
-        'id', if(l_partkey % 97 = 0, null, concat(l_orderkey, '-', k)),
+def items(of: str = "") -> str:
+    """The items of a line's response; ``of`` stands before its fields."""
+    item = f"""named_struct(
+        'id', if({of}l_partkey % 97 = 0, null, concat({of}l_orderkey, '-', k)),
         'snippet', named_struct(
-            'title', concat('title ', l_partkey % 1000),
-            'channelTitle', concat('Channel#', l_suppkey),
-            'categoryId', cast(l_partkey % 50 + 1 as string),
-            'publishedAt', date_format(l_shipdate, 'yyyy-MM-dd'),
-            'description', if(l_linenumber = 5, null, concat('order ', l_orderkey)),
-            'tags', if(l_linenumber = 4, null, array(l_returnflag, l_linestatus)),
-            'thumbnails', named_struct('default', named_struct('url', concat('thumb/', l_partkey)))),
+            'title', concat('title ', {of}l_partkey % 1000),
+            'channelTitle', concat('Channel#', {of}l_suppkey),
+            'categoryId', cast({of}l_partkey % 50 + 1 as string),
+            'publishedAt', date_format({of}l_shipdate, 'yyyy-MM-dd'),
+            'description', if({of}l_linenumber = 5, null, concat('order ', {of}l_orderkey)),
+            'tags', if({of}l_linenumber = 4, null, array({of}l_returnflag, {of}l_linestatus)),
+            'thumbnails', named_struct('default', named_struct('url', concat('thumb/', {of}l_partkey)))),
         'statistics', named_struct(
-            'viewCount', case when l_partkey % 83 = 0 then null when l_partkey % 79 = 0 then '0'
-                else cast(cast(floor(l_extendedprice) as bigint) + k as string) end,
-            'likeCount', cast(l_quantity as string),
-            'dislikeCount', if(l_linenumber = 2, null, cast(l_linenumber as string)),
-            'commentCount', cast(3 * l_linenumber as string)))"""
+            'viewCount', case when {of}l_partkey % 83 = 0 then null when {of}l_partkey % 79 = 0 then '0'
+                else cast(cast(floor({of}l_extendedprice) as bigint) + k as string) end,
+            'likeCount', cast({of}l_quantity as string),
+            'dislikeCount', if({of}l_linenumber = 2, null, cast({of}l_linenumber as string)),
+            'commentCount', cast(3 * {of}l_linenumber as string)))"""
+    return f"transform(slice(array(0, 1), 1, {of}l_linenumber % 3), k -> {item})"
+
+
+def landed() -> Column:
+    """The landing time of a line's response, as text."""
     second = "((l_partkey * 7 + l_linenumber) % 86400)"
     clock = (
         f"concat(lpad({second} div 3600, 2, '0'), ':', lpad({second} div 60 % 60, 2, '0'), ':', "
         f"lpad({second} % 60, 2, '0'))"
     )
+    return F.expr(f"concat(date_format(l_shipdate, 'yyyy-MM-dd'), 'T', {clock}, '+00:00')").alias("landed")
+
+
+def placed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items with the region, as it is spelled, date and hour that their responses land in."""
     place = {
         "region": F.expr(
             "case when l_returnflag = 'A' and l_linestatus = 'F' then ' US' when l_returnflag = 'A' then ' In ' "
@@ -187,12 +195,17 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         "date": F.expr("make_date(year(l_shipdate) + 20, 1, 1)"),
         "hour": F.expr("cast(12 * (l_linenumber % 2) as int)"),
     }
-    return laid_out(table(spark, sf_dir, "lineitem").withColumns(place), LANDING_FOLDERS).select(
-        F.expr(f"transform(slice(array(0, 1), 1, l_linenumber % 3), k -> {item})").alias("items"),
-        *place,
-        F.expr(f"concat(date_format(l_shipdate, 'yyyy-MM-dd'), 'T', {clock}, '+00:00')").alias("landed"),
-        "l_orderkey",
-        "l_linenumber",
+    return table(spark, sf_dir, "lineitem").withColumns(place)
+
+
+def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """API responses with 0, 1 or 2 items, one per line item, with region and landing time.
+
+    Item k of a line carries the order number, so lines of one order are copies of one video. Lines are laid out by the
+    folders that they land in before payloads are made of them, so no shuffle carries payloads.
+    """
+    return laid_out(placed_lines(spark, sf_dir), LANDING_FOLDERS).select(
+        F.expr(items()).alias("items"), *LANDING_FOLDERS, landed(), "l_orderkey", "l_linenumber"
     )
 
 
@@ -277,25 +290,73 @@ def history_copies(spark: SparkSession, sf_dir: str) -> str:
 
 #: Orders in one indented response.
 ORDERS_PER_RESPONSE = 6000
+#: Level of gzip; indented text becomes less than a tenth at the first.
+FASTEST = 1
+
+
+def put_responses(responses: DataFrame, root: str) -> None:
+    """Each text in ``value`` as a gzip file of its own below its folder of ``root``, named by ``part``.
+
+    Hadoop's local file system starts a process for each file and checksum that it makes, to set its permissions, and a
+    commit renames file by file on the driver. So where ``root`` is a folder that is mounted, each task puts its files
+    there by itself, as API clients put objects; a task that runs again puts the same names again. Elsewhere Spark's
+    writer is used.
+    """
+    responses.drop("part").limit(0).write.partitionBy(*LANDING_FOLDERS).text(root)  # a folder, also without any response
+    mounted = urlsplit(root).path
+    if not os.path.isdir(mounted):
+        rows = responses.drop("part").write.mode("append").partitionBy(*LANDING_FOLDERS)
+        rows.option("maxRecordsPerFile", 1).option("compression", "gzip").text(root)
+        return
+    names, level = LANDING_FOLDERS, FASTEST
+
+    def put(rows):  # runs where this library need not be installed
+        import gzip
+        import os
+        import uuid
+
+        if not os.path.isdir(mounted):
+            raise FileNotFoundError(f"{mounted} is not mounted here")
+        for row in rows:
+            values = ["__HIVE_DEFAULT_PARTITION__" if row[n] is None else row[n] for n in names]
+            folder = os.path.join(mounted, *[f"{n}={v}" for n, v in zip(names, values)])
+            os.makedirs(folder, exist_ok=True)
+            unfinished = os.path.join(folder, f"_{uuid.uuid4().hex}")  # readers don't see names like this
+            with open(unfinished, "wb") as file:
+                file.write(gzip.compress(f"{row['value']}\n".encode(), level, mtime=0))
+            os.replace(unfinished, os.path.join(folder, f"response-{row['part']}.json.gz"))
+
+    responses.foreachPartition(put)
 
 
 def pretty_zone(spark: SparkSession, sf_dir: str) -> str:
     """Indented responses as an API lands them, one file each, with the items of a range of orders for a region and
-    hour; every seventh range is cut off. A range holds a fixed number of orders, so a response has a bounded size."""
+    hour; every seventh range is cut off. A range holds a fixed number of orders, so a response has a bounded size.
+
+    Lines meet by response, and items and texts are made where they have met, so that no shuffle or sort carries these.
+    """
 
     def write(path: str) -> None:
-        place = ("region", "date", "hour")
-        rows = stamped_orders(spark, sf_dir).withColumn("part", F.expr(f"l_orderkey div {ORDERS_PER_RESPONSE}"))
-        responses = rows.groupBy(*place, "part").agg(
-            F.flatten(F.sort_array(F.collect_list("items"))).alias("items"),
-            F.max("_pipeline_metadata.ingestion_timestamp").alias("landed"),
+        place = LANDING_FOLDERS
+        fields = (
+            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus",
+            "l_shipdate",
+        )
+        part = F.expr(f"l_orderkey div {ORDERS_PER_RESPONSE}").alias("part")
+        lines = placed_lines(spark, sf_dir).select(*fields, F.expr("lower(trim(region))").alias("region"), "date", "hour", part)
+        met = lines.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *place, "part")
+        with_items = F.when(F.col("l_linenumber") % 3 != 0, F.struct(*fields))
+        responses = met.groupBy(*place, "part").agg(F.collect_list(with_items).alias("lines"), F.max(landed()).alias("landed"))
+        # in the order of folders, in which the writer wants them, before they grow
+        responses = responses.sortWithinPartitions(*place).withColumn(
+            "items", F.expr(f"flatten(sort_array(transform(lines, line -> {items('line.')})))")
         )
         stamp = F.struct(
             F.col("region"), F.col("landed").alias("ingestion_timestamp"), F.size("items").cast("bigint").alias("video_count")
         )
         text = F.to_json(F.struct("items", stamp.alias("_pipeline_metadata")), {"pretty": "true"})
         cut = F.when(F.col("part") % 7 == 3, text.substr(1, 200)).otherwise(text)
-        responses.select(*place, cut.alias("value")).write.option("maxRecordsPerFile", 1).partitionBy(*place).text(path)
+        put_responses(responses.select(*place, "part", cut.alias("value")), path)
 
     return once(spark, "pretty", sf_dir, write)
 
