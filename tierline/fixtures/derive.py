@@ -345,18 +345,21 @@ def pretty_zone(spark: SparkSession, sf_dir: str) -> str:
         part = F.expr(f"l_orderkey div {ORDERS_PER_RESPONSE}").alias("part")
         lines = placed_lines(spark, sf_dir).select(*fields, F.expr("lower(trim(region))").alias("region"), "date", "hour", part)
         met = lines.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *place, "part")
-        with_items = F.when(F.col("l_linenumber") % 3 != 0, F.struct(*fields))
-        responses = met.groupBy(*place, "part").agg(F.collect_list(with_items).alias("lines"), F.max(landed()).alias("landed"))
-        # in the order of folders, in which the writer wants them, before they grow
-        responses = responses.sortWithinPartitions(*place).withColumn(
-            "items", F.expr(f"flatten(sort_array(transform(lines, line -> {items('line.')})))")
+        n = F.col("l_linenumber") % 3
+        responses = met.groupBy(*place, "part").agg(
+            F.collect_list(F.when(n != 0, F.struct(*fields))).alias("lines"),
+            F.coalesce(F.sum(n), F.lit(0)).cast("bigint").alias("video_count"),
+            F.max(landed()).alias("ingestion_timestamp"),
         )
-        stamp = F.struct(
-            F.col("region"), F.col("landed").alias("ingestion_timestamp"), F.size("items").cast("bigint").alias("video_count")
-        )
-        text = F.to_json(F.struct("items", stamp.alias("_pipeline_metadata")), {"pretty": "true"})
-        cut = F.when(F.col("part") % 7 == 3, text.substr(1, 200)).otherwise(text)
-        put_responses(responses.select(*place, "part", cut.alias("value")), path)
+        # in the order of folders, in which the writer wants them, before they grow; items are named once, so they become text
+        # without being laid out as a column
+        sent = responses.sortWithinPartitions(*place)
+        listed = F.expr(f"flatten(sort_array(transform(lines, line -> {items('line.')})))").alias("items")
+        stamp = F.struct("region", "ingestion_timestamp", "video_count").alias("_pipeline_metadata")
+        text = F.to_json(F.struct(listed, stamp), {"pretty": "true"})
+        sent = sent.select(*place, "part", text.alias("value"))
+        cut = F.when(F.col("part") % 7 == 3, F.col("value").substr(1, 200)).otherwise(F.col("value"))
+        put_responses(sent.withColumn("value", cut), path)
 
     return once(spark, "pretty", sf_dir, write)
 
