@@ -109,3 +109,16 @@ def test_records_are_named_by_their_content(spark):
     tree = merkle.manifest(table(spark, ODD))
     records = tree.records(tree.source_records, 1).collect()
     assert records and all(sha("".join(r.children)) == r.digest and len(r.children) <= merkle.FAN for r in records)
+
+
+def test_no_descent_is_sent_whole_to_all_tasks(spark):
+    rows = [(i, f"text {i}", "en", f"s{i % 3}", 6) for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    assert int(spark.conf.get("spark.sql.autoBroadcastJoinThreshold").rstrip("b")) > 0  # small tables would be
+    tree = merkle.manifest(docs)
+    for proofs in (tree.proofs(), tree.proofs(tree.leaves.where("doc_id % 7 = 0"))):
+        plan = proofs._jdf.queryExecution().optimizedPlan().toString()
+        joins = [line for line in plan.splitlines() if "Join " in line and "JoinHint" not in line]
+        assert joins and all("strategy=merge" in line for line in joins if "Inner" in line)
+        physical = proofs._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin [digest" not in physical and "BroadcastHashJoin [tree" not in physical

@@ -108,7 +108,7 @@ class Manifest:
     def records(self, path: str, height: int) -> DataFrame:
         """Digest to children, on one level. Equal subtrees are one record."""
         stored = self.leaves.sparkSession.read.schema(RECORD).parquet(f"{path}/height={height}")
-        return stored.groupBy("digest").agg(F.any_value("children").alias("children"))
+        return _dealt(stored.groupBy("digest").agg(F.any_value("children").alias("children")))
 
     def _descended(self, at: DataFrame, path: str, height: int) -> DataFrame:
         """From nodes (tree, rank, digest, path) of one level to their children; ``path`` grows by those not taken."""
@@ -135,9 +135,9 @@ class Manifest:
         for height in range(self.top_height, 0, -1):
             at = self._descended(at, self.top_records, height)
         # the place in the top tree is the source's number
-        starts = self.sources.select("tree", "subroot", "height").join(at.select(F.col("rank").alias("tree"), "path"), "tree")
+        starts = _dealt(self.sources.select("tree", "subroot", "height")).join(at.select(F.col("rank").alias("tree"), "path"), "tree")
         if some is not None:
-            starts = starts.join(some.select("tree").distinct(), "tree", "left_semi")
+            starts = starts.join(_dealt(some.select("tree").distinct()), "tree", "left_semi")
         starts = materialise(starts, "subroots")
         at = None
         for height in range(self.source_height, 0, -1):
@@ -145,7 +145,7 @@ class Manifest:
             at = fresh if at is None else at.unionByName(fresh)
             if some is not None:
                 asked = some.select("tree", F.floor(F.col("up") / FAN ** (height - 1)).alias("rank")).distinct()
-                at = at.join(asked, ["tree", "rank"], "left_semi")
+                at = at.join(_dealt(asked), ["tree", "rank"], "left_semi")
             if height > 1:
                 at = self._descended(at, self.source_records, height)
         lone = starts.where("height = 0").select("tree", F.lit(0).cast("bigint").alias("up"), "path", F.lit(None).cast("array<string>").alias("children"))
@@ -155,7 +155,7 @@ class Manifest:
         asked = F.col("ask.digit")
         up = F.reverse("path")
         steps = F.when(F.col("children").isNull(), up).otherwise(F.concat(F.array(_step(asked, F.col("children"))), up))
-        found = runs.join(lone, ["tree", "up"]).select("tree", "path", "children", F.explode("asked").alias("ask"))
+        found = _dealt(runs).join(lone, ["tree", "up"]).select("tree", "path", "children", F.explode("asked").alias("ask"))
         return found.select(
             "tree", "ask.row", "ask.doc_id", "ask.claim", steps.alias("steps"),
             # what the descent arrived at
@@ -163,6 +163,15 @@ class Manifest:
         )
 
 
+def _dealt(df: DataFrame) -> DataFrame:
+    """``df`` for a join that deals out both sides.
+
+    Spark takes a join with distinct keys for as small as its other side and doesn't know how many rows an explode makes.
+    So what a descent has come to is taken for as small as its start, and would be sent whole to the driver and all tasks.
+    """
+    return df.hint("merge")
+
+
 def _step(digit: Column, children: Column) -> Column:
     # slices of an array of which one element is left out
     before, after = F.slice(children, 1, digit), F.slice(children, digit + 2, FAN)
