@@ -164,3 +164,15 @@ def test_a_table_grows_wider(spark, folder):
     assert {(r.v, r.more, r.region) for r in spark.table(name).collect()} == {(1, None, "us"), (2**40, None, "us")}
     with pytest.raises(SchemaConflict):
         grow_table(spark, name, table("string", "x").schema)
+
+
+def test_extras_are_worked_out_once(spark):
+    lines = spark.createDataFrame([("{}",)], "value string")
+    plan = drift.captured(lines)._jdf.queryExecution().analyzed().toString().splitlines()[0]
+    objects = ("payload", "_pipeline_metadata", "item", "snippet", "thumbnails", "default", "statistics")
+    assert plan.count("to_variant_object(") == len(objects)
+    told = lambda text: drift.captured(spark.createDataFrame([(text,)], "value string")).select(F.expr("to_json(named_struct('in', items._extra, 'out', _extra))")).first()[0]
+    assert told('{"items": [{"id": "a", "snippet": {"thumbnails": {"default": {"url": {"x": 1}}}, "tags": ["t", 2]}}, {"statistics": 3}], "at": [1]}') == (
+        '{"in":[{"snippet":{"thumbnails":{"default":{"url":{"x":1}}}}},{"statistics":3}],"out":{"at":[1]}}'
+    )
+    assert told('{"items": null, "etag": null}') == '{"out":{"etag":null,"items":null}}'
