@@ -15,7 +15,7 @@ from tierline.fixtures.queries import QUERIES
 from tierline.operators.landing import land
 from tierline.operators import cleanse, shape
 from tierline.plans.silver import cleansed, newest, silver_statistics
-from tierline.sources import read_envelopes
+from tierline.sources import read_envelopes, read_history_csv
 from tierline.streaming import intake, merge_snapshots
 
 SF = "/root/testdata/sf0.001"
@@ -56,6 +56,23 @@ def test_no_join_of_the_history_carries_texts_made_of_lines(spark):
     assert "Repartition" not in plan
 
 
+def test_history_is_laid_out_once_before_its_texts_are_made(spark, folder, monkeypatch):
+    plan = d.snapshots(spark, SF, by_region=True)._jdf.queryExecution().optimizedPlan().toString()
+    above, below = plan.split("RebalancePartitions")
+    assert all(made in above and made not in below for made in ("thumb/", "part-", "yy.dd.MM", "line "))
+    stored, real = [], d.materialise
+    monkeypatch.setattr(d, "materialise", lambda df, label: stored.append(df) or real(df, label))
+    monkeypatch.setattr(d, "_paths", {})
+    copies = read_history_csv(spark, d.history_copies(spark, SF))
+    assert stored[0]._jdf.queryExecution().optimizedPlan().toString().count("RebalancePartitions") == 1
+    columns = [c for c in copies.columns if not c.startswith("_")]
+    # one of each row's copies is in another file than the other
+    found = copies.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("_source_file").alias("files"))
+    rows = read_history_csv(spark, d.history_zone(spark, SF)).groupBy(*columns).agg((2 * F.count(F.lit(1))).alias("n"))
+    assert found.where("files < 2").isEmpty()
+    assert rows.exceptAll(found.drop("files")).isEmpty() and found.drop("files").exceptAll(rows).isEmpty()
+
+
 @pytest.mark.parametrize("name", ["sink_append", "sink_schema_growth", "kpi_row"])
 def test_input_used_again_is_joined_once(spark, monkeypatch, name):
     joined, real = [], d.snapshots
